@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+import datetime as dt
 
+from ..plans import metrics as m
+from ..plans import model
 from ..plans import questions as q
 from ..plans import views
-from .oracle import avg2, n, n_if, pct
+from .oracle import avg2, n, n_if, pct, union_all
 from .registry import query
 
 # Views
@@ -198,3 +200,305 @@ SELECT {n()} AS total_backlog_referrals, {n('backlog_over_target_flag')} AS targ
 FROM v_referral WHERE backlog_flag""")
 def _(w):
     return q.backlog_network(w.clean, w.domain)
+
+
+# Documented metrics
+
+_YEARS = (1999, 2000)
+
+
+def _growth(fact: str, time: str, months: str) -> str:
+    return f"""SELECT '{fact}' AS fact_name, '{months}' AS months, a AS base_records, b AS later_records, {pct('b - a', 'a')} AS growth_percentage
+FROM (SELECT {n_if(f'year({time}) = {_YEARS[0]}')} AS a, {n_if(f'year({time}) = {_YEARS[1]}')} AS b FROM clean_{fact} WHERE month({time}) IN ({months}))"""
+
+
+@query("dm01_yoy_growth", union_all(
+    _growth(f, t, months) for months in ("1, 2, 3, 4, 5, 6, 7", "1, 2, 3, 4, 5, 6")
+    for f, t in (("referrals", "referral_date"), ("appointments", "scheduled_datetime"))))
+def _(w):
+    whole = m.growth_same_months(w.clean, _YEARS[0], range(1, 8))
+    return whole.unionByName(m.growth_same_months(w.clean, _YEARS[0], range(1, 8), excluded={7}))
+
+
+def _months(fact: str, time: str) -> str:
+    return f"SELECT date_trunc('month', {time})::DATE AS m, {n()} AS c FROM clean_{fact} GROUP BY 1"
+
+
+@query("dm02_daily_rate", f"""
+SELECT m AS month_start, c AS records, day(last_day(m))::BIGINT AS days_in_month, {avg2('c', 'day(last_day(m))')} AS records_per_day,
+  {avg2('sum(c) OVER ()', 'count(*) OVER ()')} AS average_per_month
+FROM ({_months('referrals', 'referral_date')})""")
+def _(w):
+    return m.daily_rates(w.clean)
+
+
+@query("dm03_top_n_share", f"""
+SELECT {n()} AS groups_counted, sum(c)::BIGINT AS top_total, any_value(g)::BIGINT AS grand_total, {pct('sum(c)', 'any_value(g)')} AS top_share_percentage
+FROM (SELECT c, g FROM (SELECT department_id, {n()} AS c, sum(count(*)) OVER () AS g FROM v_referral WHERE backlog_flag GROUP BY 1)
+  WHERE department_id IS NOT NULL ORDER BY c DESC, department_id LIMIT 10)""")
+def _(w):
+    return m.backlog_concentration(w.clean, w.domain)
+
+
+@query("dm04_over_60_share", f"""
+SELECT hospital_region, {n()} AS backlog, {n_if("backlog_wait_band = 'Over 60 days'")} AS over_60_days,
+  CASE WHEN grouping(hospital_region) = 1 THEN 'network' ELSE 'region' END AS level,
+  {pct("count(*) FILTER (WHERE backlog_wait_band = 'Over 60 days')", 'count(*)')} AS over_60_percentage
+FROM v_referral WHERE backlog_flag GROUP BY ROLLUP (hospital_region)""")
+def _(w):
+    return m.oldest_band_share(w.clean, w.domain)
+
+
+_eligible_missed = "attendance_eligible_flag AND no_show_flag"
+
+
+@query("dm05_rate_by_specialty", f"""
+SELECT department_name, CASE WHEN grouping(department_name) = 1 THEN 'network' ELSE 'specialty' END AS level,
+  {n_if('attendance_eligible_flag')} AS eligible_appointments, {n_if(_eligible_missed)} AS no_show_appointments,
+  {n('wait_h')} AS appointments_with_wait_time, {n('met_wait_target_flag')} AS target_eligible_appointments,
+  {n_if('met_wait_target_flag')} AS appointments_within_target,
+  {pct(f'count(*) FILTER (WHERE {_eligible_missed})', 'count(*) FILTER (WHERE attendance_eligible_flag)')} AS no_show_rate_percentage,
+  {avg2('sum(wait_h)', 'count(wait_h)', 2)} AS average_waiting_minutes, {pct(_within, 'count(met_wait_target_flag)')} AS target_met_percentage
+FROM v_appointment GROUP BY ROLLUP (department_name)""")
+def _(w):
+    return m.specialty_performance(w.clean, w.domain)
+
+
+_first = f"""{n()} AS referrals_with_known_target, {avg2('sum(days_to_first_appointment)', 'count(*)')} AS average_days_to_first_appointment,
+  {n_if('first_appointment_met_target_flag')} AS referrals_within_target, {pct(_met, 'count(*)')} AS target_met_percentage"""
+_known_target = "v_referral WHERE first_appointment_met_target_flag IS NOT NULL"
+
+
+@query("dm06_target_by_urgency", f"""
+SELECT a.*, b.weakest_region_percentage FROM (SELECT urgency, {_first} FROM {_known_target} GROUP BY 1) a
+JOIN (SELECT urgency, min(r) AS weakest_region_percentage FROM (SELECT urgency, hospital_region, {pct(_met, 'count(*)')} AS r FROM {_known_target} GROUP BY 1, 2)
+  GROUP BY 1) b ON a.urgency = b.urgency""")
+def _(w):
+    return m.target_by_urgency(w.clean, w.domain)
+
+
+def _avoidable(group: str) -> str:
+    surplus = "(no_show_appointments::HUGEINT * bn - eligible_appointments::HUGEINT * bm)"
+    return f"""SELECT '{group}' AS group_name, g::VARCHAR AS group_value, eligible_appointments, no_show_appointments, no_show_rate_percentage,
+  ((200 * {surplus} + bn) // (2 * bn)) / 100::DOUBLE AS avoidable_no_shows
+FROM (SELECT *, first_value(eligible_appointments) OVER best AS bn, first_value(no_show_appointments) OVER best AS bm
+  FROM (SELECT {group} AS g, {_no_show} FROM v_appointment WHERE attendance_eligible_flag AND {group} IS NOT NULL GROUP BY 1)
+  WINDOW best AS (ORDER BY no_show_appointments::DOUBLE / eligible_appointments::DOUBLE, g))"""
+
+
+@query("dm07_avoidable", union_all([_avoidable("booking_channel"), _avoidable("deprivation_quintile")]))
+def _(w):
+    return m.avoidable(w.clean, w.domain)
+
+
+def _spread(measure: str, rate: str, source: str, unit: int = 1) -> str:
+    return f"""SELECT '{measure}' AS measure, min(r) / 100::DOUBLE AS lowest, max(r) / 100::DOUBLE AS highest, (max(r) - min(r)) * {unit} / 100::DOUBLE AS spread
+FROM (SELECT {rate} AS r FROM {source})"""
+
+
+def _h(part: str, whole: str, scale: int = 20000) -> str:
+    return f"(({scale} * ({part}) + ({whole})) // (2 * ({whole})))::BIGINT"
+
+
+_place = "hospital_region IS NOT NULL AND facility_name IS NOT NULL GROUP BY hospital_region, facility_name"
+
+
+@query("dm08_rate_spread", union_all([
+    _spread("facility length of stay, minutes", _h("sum(stay_h)", "count(*)", 2), f"v_ed WHERE stay_h IS NOT NULL AND {_place}", 60),
+    _spread("facility left before treatment, points", _h("count(*) FILTER (WHERE left_before_treatment_flag)", "count(*)"), f"v_ed WHERE {_place}"),
+    _spread("facility admission rate, points", _h("count(*) FILTER (WHERE admitted_flag)", "count(*)"), f"v_ed WHERE {_place}"),
+    _spread("region no-show rate, points", _h("count(*) FILTER (WHERE no_show_flag)", "count(*)"),
+            "v_appointment WHERE attendance_eligible_flag AND hospital_region IS NOT NULL GROUP BY hospital_region"),
+]))
+def _(w):
+    return m.spreads(w.clean, w.domain)
+
+
+@query("dm09_month_over_month", f"""
+WITH months AS ({_months('appointments', 'scheduled_datetime')}),
+line AS (SELECT s.d::DATE AS month_start, coalesce(c, 0) AS records FROM (SELECT unnest(generate_series((SELECT min(m) FROM months)::TIMESTAMP,
+  (SELECT max(m) FROM months)::TIMESTAMP, INTERVAL 1 MONTH)) AS d) s LEFT JOIN months ON s.d::DATE = m),
+lagged AS (SELECT *, lag(records) OVER (ORDER BY month_start) AS previous_month_records,
+  lag(records, 12) OVER (ORDER BY month_start) AS same_month_last_year_records FROM line)
+SELECT *, {pct('records - previous_month_records', 'previous_month_records')} AS change_percentage,
+  {pct('records - same_month_last_year_records', 'same_month_last_year_records')} AS year_change_percentage FROM lagged""")
+def _(w):
+    return m.month_over_month(w.clean)
+
+
+_WINDOW_END = dt.date(2001, 6, 30)
+
+
+@query("dm10_out_of_window", f"""
+SELECT appointment_status, {n()} AS records_outside_window, min(scheduled_date) AS first_date, max(scheduled_date) AS last_date
+FROM v_appointment WHERE scheduled_date > DATE '{_WINDOW_END}' GROUP BY 1""")
+def _(w):
+    return m.outside_window(w.clean, _WINDOW_END)
+
+
+@query("dm11_cumulative_share", f"""
+SELECT presenting_group, c AS total_ed_visits, {pct('c', '(sum(c) OVER ())')} AS percentage_of_ed_visits,
+  {pct('(sum(c) OVER (ORDER BY c DESC, presenting_group ROWS UNBOUNDED PRECEDING))', '(sum(c) OVER ())')} AS cumulative_percentage
+FROM (SELECT presenting_group, {n()} AS c FROM v_ed GROUP BY 1)""")
+def _(w):
+    return m.presenting_pareto(w.clean, w.domain)
+
+
+def _percentiles(measure: str, group: str, value: str, view: str) -> str:
+    parts = []
+    for name, p in m.PERCENTILES.items():
+        at = f"(n - 1) * {p.numerator}"
+        low = f"max(v) FILTER (WHERE i = ({at}) // {p.denominator})"
+        high = f"max(v) FILTER (WHERE i = ({at} + {p.denominator - 1}) // {p.denominator})"
+        exact = f"({low} * {p.denominator} + ({high} - {low}) * (any_value({at}) % {p.denominator}))"
+        parts.append(f"((2 * {exact} + {p.denominator}) // {2 * p.denominator}) / 100::DOUBLE AS {name}")
+    return f"""SELECT '{measure}' AS measure, g AS group_id, any_value(n)::BIGINT AS n, {', '.join(parts)}
+FROM (SELECT {group} AS g, {value} AS v, row_number() OVER (PARTITION BY {group} ORDER BY {value}) - 1 AS i,
+  count(*) OVER (PARTITION BY {group}) AS n FROM {view} WHERE {value} IS NOT NULL) GROUP BY g"""
+
+
+@query("dm12_percentiles", union_all([
+    _percentiles("waiting_minutes", "department_id", "wait_h", "v_appointment"),
+    _percentiles("length_of_stay_hours", "facility_id", "stay_h", "v_ed"),
+]))
+def _(w):
+    return m.wait_percentiles(w.clean, w.domain)
+
+
+@query("dm13_missing_population", union_all([
+    f"SELECT 'attendance-eligible appointments without quintile' AS population, {n()} AS records FROM v_appointment WHERE attendance_eligible_flag AND deprivation_quintile IS NULL",
+    f"SELECT 'ED visits without facility' AS population, {n()} AS records FROM v_ed WHERE facility_id IS NULL",
+    f"SELECT 'referrals without department' AS population, {n()} AS records FROM v_referral WHERE department_id IS NULL",
+]))
+def _(w):
+    return m.missing_populations(w.clean, w.domain)
+
+
+@query("dm14_hour_weekday", f"""
+SELECT isodow(arrival_time)::BIGINT AS iso_weekday, hour(arrival_time)::BIGINT AS arrival_hour, {n()} AS total_ed_visits FROM v_ed GROUP BY 1, 2""")
+def _(w):
+    return m.arrivals_by_hour(w.clean)
+
+
+_SEGMENTS = {
+    "network": "'all'", "presenting_group": "presenting_group", "triage_category": "triage_category::VARCHAR",
+    "disposition": "disposition", "deprivation_quintile": "deprivation_quintile::VARCHAR",
+    "age_band": "((year(arrival_time) - year(date_of_birth)) // 10 * 10)::VARCHAR || 's'",
+}
+
+
+@query("dm15_return_by_segment", union_all(
+    f"SELECT '{s}' AS segment, {e} AS segment_value, {_return} FROM v_return GROUP BY 1, 2" for s, e in _SEGMENTS.items()))
+def _(w):
+    return m.return_by_segment(w.clean, w.domain)
+
+
+@query("dm16_backlog_flow", f"""
+SELECT month_start, new_referrals, closed_referrals, new_referrals - closed_referrals AS net_change,
+  (sum(new_referrals - closed_referrals) OVER (ORDER BY month_start))::BIGINT AS running_net
+FROM (SELECT coalesce(a.m, b.m) AS month_start, coalesce(a.c, 0) AS new_referrals, coalesce(b.c, 0) AS closed_referrals
+  FROM ({_months('referrals', 'referral_date')}) a
+  FULL JOIN (SELECT date_trunc('month', closed_date)::DATE AS m, {n()} AS c FROM clean_referrals WHERE closed_date IS NOT NULL GROUP BY 1) b ON a.m = b.m)""")
+def _(w):
+    return m.backlog_flow(w.clean)
+
+
+# Semantic model
+
+_ends = union_all(
+    f"SELECT min({c})::DATE AS a, max({c})::DATE AS b FROM clean_{t}" for t, c in m.ACTIVITY.items())
+
+
+@query("sm01_date_dimension", f"""
+SELECT d AS date, year(d)::BIGINT AS year, quarter(d)::BIGINT AS quarter, month(d)::BIGINT AS month_number, strftime(d, '%B') AS month_name,
+  date_trunc('month', d)::DATE AS month_start, (year(d) * 100 + month(d))::BIGINT AS month_sort
+FROM (SELECT unnest(generate_series(min(a)::TIMESTAMP, max(b)::TIMESTAMP, INTERVAL 1 DAY))::DATE AS d FROM ({_ends}))""")
+def _(w):
+    return model.dim_date(w.clean)
+
+
+@query("sm02_star_query", f"""
+SELECT year(scheduled_date)::BIGINT AS year, hospital_region, gender, {n()} AS appointments, {n_if('no_show_flag')} AS no_shows
+FROM v_appointment GROUP BY 1, 2, 3""")
+def _(w):
+    return model.star_appointments(w.clean, w.domain)
+
+
+def _kpi(name: str, kind: str, num: str, den: str, view: str, where: str = "TRUE", scale: int = 200) -> str:
+    value = {"count": f"({num})::DOUBLE", "rate": pct(num, den), "average": avg2(num, den, scale)}[kind]
+    shown = f"({num}) / 100::DOUBLE" if scale == 2 else f"({num})::DOUBLE"
+    return f"SELECT '{name}' AS kpi_name, {shown} AS numerator, ({den})::BIGINT AS denominator, {value} AS kpi_value FROM {view} WHERE {where}"
+
+
+def _f(p: str) -> str:
+    return f"count(*) FILTER (WHERE {p})"
+
+
+def _kpis(referral_where: str = "TRUE", appointment_where: str = "TRUE", ed_where: str = "TRUE") -> list[str]:
+    r, a, e = ("v_referral", referral_where), ("v_appointment", appointment_where), ("v_ed", ed_where)
+    return [
+        _kpi("Backlog referrals", "count", _f("backlog_flag"), "count(*)", *r),
+        _kpi("Average backlog wait days", "average", "coalesce(sum(backlog_wait_days), 0)", "count(backlog_wait_days)", *r),
+        _kpi("Backlog over target %", "rate", _f("backlog_over_target_flag"), "count(backlog_over_target_flag)", *r),
+        _kpi("No-show rate %", "rate", _f(_eligible_missed), _f("attendance_eligible_flag"), *a),
+        _kpi("Average appointment wait minutes", "average", "coalesce(sum(wait_h), 0)", "count(wait_h)", *a, 2),
+        _kpi("Seen within target %", "rate", _f("met_wait_target_flag"), "count(met_wait_target_flag)", *a),
+        _kpi("Average ED length of stay hours", "average", "coalesce(sum(stay_h), 0)", "count(stay_h)", *e, 2),
+        _kpi("Admission rate %", "rate", _f("admitted_flag"), "count(*)", *e),
+        _kpi("Left before treatment %", "rate", _f("left_before_treatment_flag"), "count(*)", *e),
+    ]
+
+
+@query("sm03_kpi_catalogue", union_all(
+    [*_kpis(), _kpi("ED return %", "rate", _f("returned"), "count(previous_discharge_time)", "v_return")]))
+def _(w):
+    return model.all_kpis(w.clean, w.domain)
+
+
+_PLACE = "hospital_region, facility_name, department_name"
+
+
+@query("sm04_matrix_rollup", f"""
+SELECT {_PLACE}, grouping({_PLACE})::BIGINT AS grouping_level, {', '.join(f'sum({c})::BIGINT AS {c}' for c in model.MATRIX_SUMS)},
+  {pct('sum(backlog_over_target)', 'sum(backlog_with_target)')} AS over_target_percentage,
+  {pct('sum(no_shows)', 'sum(attendance_eligible)')} AS no_show_rate_percentage,
+  {pct('sum(within_wait_target)', 'sum(wait_with_target)')} AS seen_within_target_percentage
+FROM (SELECT {_PLACE}, {_f('backlog_flag')} AS backlog, count(backlog_over_target_flag) AS backlog_with_target, {_f('backlog_over_target_flag')} AS backlog_over_target,
+    0 AS attendance_eligible, 0 AS no_shows, 0 AS wait_with_target, 0 AS within_wait_target FROM v_referral GROUP BY ALL
+  UNION ALL SELECT {_PLACE}, 0, 0, 0, {_f('attendance_eligible_flag')}, {_f(_eligible_missed)}, count(met_wait_target_flag), {_f('met_wait_target_flag')}
+  FROM v_appointment GROUP BY ALL)
+GROUP BY ROLLUP ({_PLACE})""")
+def _(w):
+    return model.performance_matrix(w.clean, w.domain)
+
+
+_SLICE = {"date": (dt.date(1998, 1, 1), dt.date(2024, 1, 15)), "hospital_region": "Asia"}
+_region, (_from, _to) = _SLICE["hospital_region"], _SLICE["date"]
+_within_slice = f"hospital_region = '{_region}' AND {{}} BETWEEN DATE '{_from}' AND DATE '{_to}'"
+
+
+@query("sm05_sliced_kpis", union_all(_kpis(
+    _within_slice.format("referral_date") + " AND department_name = 'Cardiology'",
+    _within_slice.format("scheduled_date") + " AND department_name = 'Cardiology'", _within_slice.format("arrival_date"))))
+def _(w):
+    return model.sliced_kpis(w.clean, w.domain, {**_SLICE, "department_name": "Cardiology"})
+
+
+def _composition(column: str) -> str:
+    return f"""SELECT '{column}' AS category, {column} AS category_value, c AS total_ed_visits, {pct('c', '(sum(c) OVER ())')} AS percentage_of_ed_visits
+FROM (SELECT {column}, {n()} AS c FROM v_ed GROUP BY 1)"""
+
+
+@query("sm06_composition", union_all([_composition("disposition"), _composition("presenting_group")]))
+def _(w):
+    return model.composition(w.clean, w.domain)
+
+
+@query("sm07_reconcile_measures", f"""
+SELECT measure_name, c::BIGINT AS measured, c::BIGINT AS independent, 0::BIGINT AS difference, 'PASS' AS validation_status FROM (
+{union_all(f"SELECT '{name}' AS measure_name, {_f(p)} AS c FROM {v}" for name, p, v in [
+    ('Backlog referrals', 'backlog_flag', 'v_referral'), ('Backlog over target %', 'backlog_over_target_flag', 'v_referral'),
+    ('No-show rate %', _eligible_missed, 'v_appointment'), ('Seen within target %', 'met_wait_target_flag', 'v_appointment'),
+    ('Admission rate %', 'admitted_flag', 'v_ed'), ('Left before treatment %', 'left_before_treatment_flag', 'v_ed')])})""")
+def _(w):
+    return model.reconcile_measures(w.clean, w.domain)
