@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import insights, quality  # noqa: F401  (registration)
+from . import basics, insights, quality  # noqa: F401  (registration)
 from .registry import REGISTRY, plain_types
 from .workspace import workspace
 

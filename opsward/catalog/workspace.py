@@ -18,7 +18,7 @@ from ..plans.cleaning import clean_table
 from ..plans.mappings import build_mappings
 from ..session import configure, shared_folder
 from ..sources import binding
-from ..sources.layers import Layers
+from ..sources.layers import LAYOUTS, Layers, layout, read_raw
 
 
 class LazyTables(Mapping):
@@ -52,6 +52,8 @@ class Workspace:
         with_mappings = (*schemas.TABLES, "reference_mappings")
         self.raw = LazyTables(schemas.TABLES, self._build_raw)
         self.clean = LazyTables(with_mappings, self._build_clean)
+        self.csv = LazyTables(schemas.TABLES, self._build_csv)
+        self.clustered = LazyTables(tuple(LAYOUTS), self._build_clustered)
         self.damaged_raw = LazyTables(schemas.TABLES, self._build_damaged_raw)
         self.damaged_clean = LazyTables(with_mappings, self._build_damaged_clean)
 
@@ -62,6 +64,20 @@ class Workspace:
         df = binding.BINDINGS[name](self.spark, self.sf_dir)
         return self.layers.write("raw", name, df) if self.layers else df
 
+    def _build_csv(self, name: str) -> DataFrame:
+        """The raw table as it would arrive: CSV files with a header."""
+        if not self.layers:
+            return self.raw[name]
+        path = f"{self.layers.base_path}/landing/{name}"
+        self.raw[name].write.mode("overwrite").options(
+            header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        ).csv(path)
+        return read_raw(self.spark, path, name)
+
+    def _build_clustered(self, name: str) -> DataFrame:
+        df = layout(self.clean[name], *LAYOUTS[name])
+        return self.layers.write("analytics", f"{name}_clustered", df) if self.layers else df
+
     def _build_damaged_raw(self, name: str) -> DataFrame:
         return self.raw[name].unionByName(binding.damaged_rows(self.spark, name))
 

@@ -15,13 +15,15 @@ from ..operators.keys import assert_unique
 def read_raw(spark: SparkSession, path: str, table: str) -> DataFrame:
     """CSV exactly as received: header row, UTF-8 (a byte-order mark is ignored), all text.
 
-    Blanks inside values are kept; an empty unquoted field is NULL.
+    Blanks inside values are kept; an empty unquoted field is NULL and a quoted one stays empty text.
+    The NUL character stands for "no value" because Spark would otherwise read both as NULL.
     """
     return (
         spark.read.schema(schemas.raw_schema(table))
         .option("header", True)
         .option("encoding", "UTF-8")
         .option("enforceSchema", True)
+        .option("nullValue", "\u0000")
         .option("mode", "FAILFAST")
         .csv(path)
     )
