@@ -3,7 +3,7 @@
 The layers are written once per application as Parquet tables in the shared folder and read back
 by every query, so a question costs one scan instead of the whole cleaning pipeline, lost
 executors only repeat a scan, and Spark knows the exact size of every table it may broadcast.
-Without a shared folder everything stays lazy.
+The folder is removed when the application ends. Without a shared folder everything stays lazy.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import schemas
 from ..plans.cleaning import clean_table
 from ..plans.mappings import build_mappings
-from ..session import configure, shared_folder
+from ..session import configure, drop_on_exit, scan_bytes, shared_folder, spread_shuffles
 from ..sources import binding
 from ..sources.layers import LAYOUTS, Layers, layout, read_raw
 
@@ -47,8 +47,10 @@ class Workspace:
         folder = shared_folder(spark)
         self.layers = None
         if folder:
-            name = hashlib.sha256(sf_dir.encode()).hexdigest()[:16]
-            self.layers = Layers(spark, f"{folder}/opsward/{spark.sparkContext.applicationId}/{name}")
+            base = f"{folder}/opsward-{spark.sparkContext.applicationId}"
+            drop_on_exit(spark, base)
+            self.layers = Layers(spark, f"{base}/{hashlib.sha256(sf_dir.encode()).hexdigest()[:16]}")
+        spread_shuffles(spark, sum(scan_bytes(self.source(t)) for t in ("lineitem", "orders", "events")))
         with_mappings = (*schemas.TABLES, "reference_mappings")
         self.raw = LazyTables(schemas.TABLES, self._build_raw)
         self.clean = LazyTables(with_mappings, self._build_clean)

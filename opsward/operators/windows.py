@@ -12,12 +12,9 @@ HOT_KEY_SHARE = 1000
 
 def hot_keys(df: DataFrame, key: str, share: int = HOT_KEY_SHARE) -> DataFrame:
     """Keys with more than 1/share of all rows (fewer than ``share`` keys)."""
-    total = df.agg(F.count("*")).scalar()
-    return (
-        df.groupBy(key).agg(F.count("*").alias("__n"))
-        .where(F.col("__n") * share > total)
-        .select(F.col(key).alias("__hot_key"))
-    )
+    counts = df.groupBy(key).agg(F.count("*").alias("__n"))
+    total = counts.agg(F.sum("__n")).scalar()
+    return counts.where(F.col("__n") * share > total).select(F.col(key).alias("__hot_key"))
 
 
 def previous_value(

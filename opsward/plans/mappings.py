@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import schemas
@@ -46,8 +47,11 @@ def mapping_rules(domain: Domain) -> dict[str, dict[str, str]]:
 
 
 def as_table(spark: SparkSession, rules: Mapping[str, Mapping[str, str]]) -> DataFrame:
+    """Mapping table held in the plan itself, so its exact size is known and joins can broadcast it."""
     rows = [(group, raw, standard) for group, values in rules.items() for raw, standard in values.items()]
-    return spark.createDataFrame(rows, schemas.CLEAN_DDL["reference_mappings"])
+    names = ["mapping_group", "raw_value_normalised", "standard_value"]
+    columns = [pa.array(list(values), pa.string()) for values in zip(*rows)]
+    return spark.createDataFrame(pa.table(columns, names=names))
 
 
 def build_mappings(spark: SparkSession, domain: Domain, existing: DataFrame | None = None) -> DataFrame:

@@ -131,8 +131,10 @@ def avoidable_no_shows(rates: DataFrame, group: str) -> DataFrame:
     """No-shows that would not have happened at the best group's rate, exact to two decimals."""
     n, missed = F.col("eligible_appointments"), F.col("no_show_appointments")
     ratio = missed.cast("double") / n.cast("double")
-    best = rates.agg(F.min_by(F.struct(n, missed), F.struct(ratio, F.col(group))).alias("best"))
-    best_n, best_missed = best.select("best.eligible_appointments").scalar(), best.select("best.no_show_appointments").scalar()
+    # The groups are the few values of one category, so a window over all of them is small.
+    best = F.min_by(F.struct(n, missed), F.struct(ratio, F.col(group))).over(Window.partitionBy(F.lit(group)))
+    rates = rates.withColumn("best", best)
+    best_n, best_missed = F.col("best.eligible_appointments"), F.col("best.no_show_appointments")
     wide = "decimal(19,0)"
     surplus = missed.cast(wide) * best_n.cast(wide) - n.cast(wide) * best_missed.cast(wide)
     avoidable = half_up_div((surplus * 100).cast("decimal(38,0)"), best_n.cast("decimal(38,0)")).cast("double") / 100
@@ -151,12 +153,20 @@ def avoidable(clean: Clean, domain: Domain) -> DataFrame:
     )
 
 
-def rate_spread(rates: DataFrame, rate: str, measure: str, unit: int = 1) -> DataFrame:
-    """Lowest and highest group rate and their distance, in ``unit`` parts of the rate's own unit."""
-    exact = (hundredths(F.max(rate)) - hundredths(F.min(rate))) * unit
-    return rates.agg(
-        F.min(rate).alias("lowest"), F.max(rate).alias("highest"), (exact.cast("double") / 100).alias("spread")
-    ).select(F.lit(measure).alias("measure"), "lowest", "highest", "spread")
+def rate_spreads(rates: DataFrame, measures: dict[str, tuple[str, int]]) -> DataFrame:
+    """Lowest and highest group rate and their distance.
+
+    ``measures`` maps a rate column to its label and to the parts of the rate's unit to show.
+    """
+    ends = [e for rate in measures for e in (F.min(rate).alias(f"{rate}_low"), F.max(rate).alias(f"{rate}_high"))]
+    entries = []
+    for rate, (label, unit) in measures.items():
+        low, high = F.col(f"{rate}_low"), F.col(f"{rate}_high")
+        spread = ((hundredths(high) - hundredths(low)) * unit).cast("double") / 100
+        entries.append(
+            F.struct(F.lit(label).alias("measure"), low.alias("lowest"), high.alias("highest"), spread.alias("spread"))
+        )
+    return rates.agg(*ends).select(F.inline(F.array(*entries)))
 
 
 def spreads(clean: Clean, domain: Domain) -> DataFrame:
@@ -169,10 +179,15 @@ def spreads(clean: Clean, domain: Domain) -> DataFrame:
     ).withColumn("rate", pct(F.col("missed"), F.col("eligible")))
     return _union(
         [
-            rate_spread(stays, "average_length_of_stay_hours", "facility length of stay, minutes", 60),
-            rate_spread(left, "left_before_treatment_percentage", "facility left before treatment, points"),
-            rate_spread(left, "admission_rate_percentage", "facility admission rate, points"),
-            rate_spread(regions, "rate", "region no-show rate, points"),
+            rate_spreads(stays, {"average_length_of_stay_hours": ("facility length of stay, minutes", 60)}),
+            rate_spreads(
+                left,
+                {
+                    "left_before_treatment_percentage": ("facility left before treatment, points", 1),
+                    "admission_rate_percentage": ("facility admission rate, points", 1),
+                },
+            ),
+            rate_spreads(regions, {"rate": ("region no-show rate, points", 1)}),
         ]
     )
 

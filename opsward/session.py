@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings the engine counts on. AQE picks join strategies from measured sizes and
 # splits skewed join partitions; results are compared in UTC.
@@ -16,6 +16,11 @@ SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# Raw text rows are several times larger than the compressed columns they come from.
+ROW_GROWTH = 4
+SHUFFLE_PARTITION_BYTES = 128 << 20
+MAX_SHUFFLE_PARTITIONS = 100_000
+
 _local_scratch: dict[str, str] = {}
 
 
@@ -26,6 +31,31 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def spread_shuffles(spark: SparkSession, input_bytes: int) -> None:
+    """Start shuffles with enough partitions for the input; AQE merges the small ones afterwards.
+
+    Only raises the number: the session's own settings stay when they are larger.
+    """
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    current = int(spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(input_bytes * ROW_GROWTH // SHUFFLE_PARTITION_BYTES, MAX_SHUFFLE_PARTITIONS)
+    if wanted > current:
+        spark.conf.set(key, str(wanted))
+
+
+def scan_bytes(df: DataFrame) -> int:
+    """Size of the files a scan reads, from the optimizer's statistics."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def drop_on_exit(spark: SparkSession, path: str) -> None:
+    """Create a folder that the session's file system removes when the application ends."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+
+
 def shared_folder(spark: SparkSession) -> str | None:
     """Folder every executor can reach, or None when the cluster names none.
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -246,4 +247,5 @@ DAMAGED_ROWS: dict[str, list[tuple[str | None, ...]]] = {
 
 
 def damaged_rows(spark: SparkSession, name: str) -> DataFrame:
-    return spark.createDataFrame(DAMAGED_ROWS[name], schemas.raw_schema(name))
+    columns = [pa.array(list(values), pa.string()) for values in zip(*DAMAGED_ROWS[name])]
+    return spark.createDataFrame(pa.table(columns, names=schemas.RAW_COLUMNS[name]))
