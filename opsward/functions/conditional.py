@@ -20,12 +20,13 @@ def null_sentinels(c: Column, sentinels: Collection[str]) -> Column:
 
 
 def map_values(c: Column, mapping: Mapping[str, object]) -> Column:
-    """Fixed value list: normalised text to standard value, NULL for anything else."""
-    key = norm_key(c)
-    result = None
-    for raw, standard in mapping.items():
-        result = F.when(key == raw, F.lit(standard)) if result is None else result.when(key == raw, F.lit(standard))
-    return result
+    """Fixed value list: normalised text to standard value, NULL for anything else.
+
+    A lookup in a constant map computes the key once per row; a chain of comparisons would
+    normalise the text again for every branch.
+    """
+    entries = [F.lit(v) for pair in mapping.items() for v in pair]
+    return F.try_element_at(F.create_map(*entries), norm_key(c))
 
 
 def flag(predicate: Column) -> Column:

@@ -10,21 +10,25 @@ from pyspark.sql import functions as F
 
 from .text import trimmed
 
-_ISO_START = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
 MICROS_PER = {"minute": 60_000_000, "hour": 3_600_000_000}
 
 
+def _looks_iso(text: Column) -> Column:
+    """Year, month and day are all there: Spark alone would also read '2026' and '2026-01'."""
+    return (F.length(text) >= 8) & (F.substring(text, 5, 1) == "-")
+
+
 def parse_date(c: Column, formats: Sequence[str] = ()) -> Column:
     """ISO date text, then any extra formats in order; anything else is NULL."""
     text = trimmed(c)
-    parsed = [F.when(text.rlike(_ISO_START), text.try_cast("date"))]
+    parsed = [F.when(_looks_iso(text), text.try_cast("date"))]
     parsed += [F.try_to_timestamp(text, F.lit(f)).cast("date") for f in formats]
     return F.coalesce(*parsed)
 
 
 def parse_timestamp(c: Column, formats: Sequence[str] = ()) -> Column:
     text = trimmed(c)
-    parsed = [F.when(text.rlike(_ISO_START), text.try_cast("timestamp_ntz"))]
+    parsed = [F.when(_looks_iso(text), text.try_cast("timestamp_ntz"))]
     parsed += [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats]
     return F.coalesce(*parsed)
 

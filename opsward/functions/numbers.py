@@ -51,4 +51,5 @@ def parse_positive_int(c: Column) -> Column:
 
 def parse_score(c: Column, low: int = 1, high: int = 5) -> Column:
     """Single-digit score between low and high, else NULL."""
-    return F.when(matches(F.btrim(c), f"[{low}-{high}]"), F.btrim(c).try_cast("smallint"))
+    digits = [str(d) for d in range(low, high + 1)]
+    return F.when(F.btrim(c).isin(*digits), F.btrim(c).try_cast("smallint"))

@@ -5,16 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than this share of all rows, so there are fewer hot keys than
-# HOT_KEY_SHARE: a bound that holds at any data size.
-HOT_KEY_SHARE = 1000
+# A key is hot when it holds more than one row in HOT_KEY_SHARE. There are then fewer hot keys than
+# HOT_KEY_SHARE at any data size, a few megabytes at most, so the list may be broadcast. Keys below
+# HOT_KEY_ROWS fit a task anyway.
+HOT_KEY_SHARE = 100_000
+HOT_KEY_ROWS = 1_000_000
 
 
-def hot_keys(df: DataFrame, key: str, share: int = HOT_KEY_SHARE) -> DataFrame:
-    """Keys with more than 1/share of all rows (fewer than ``share`` keys)."""
+def hot_keys(df: DataFrame, key: str, share: int = HOT_KEY_SHARE, min_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """Keys with more than min_rows rows and more than 1/share of all rows (fewer than ``share`` keys)."""
     counts = df.groupBy(key).agg(F.count("*").alias("__n"))
     total = counts.agg(F.sum("__n")).scalar()
-    return counts.where(F.col("__n") * share > total).select(F.col(key).alias("__hot_key"))
+    return counts.where((F.col("__n") > min_rows) & (F.col("__n") * share > total)).select(F.col(key).alias("__hot_key"))
 
 
 def previous_value(
@@ -27,6 +29,7 @@ def previous_value(
     ignore_nulls: bool = False,
     slice_unit: str = "hour",
     share: int = HOT_KEY_SHARE,
+    min_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """``lag(value)`` per key in order of time, then tie_breaker.
 
@@ -35,7 +38,7 @@ def previous_value(
     one extra carry row, which is dropped afterwards. Other keys form one slice. NULL times sort
     last. With ``ignore_nulls`` the last non-NULL earlier value is taken.
     """
-    hot = F.broadcast(hot_keys(df, key, share))
+    hot = F.broadcast(hot_keys(df, key, share, min_rows))
     far = F.lit("9999-12-31 00:00:00").cast("timestamp_ntz")
     sliced = df.join(hot, F.col(key) == F.col("__hot_key"), "left").withColumn(
         "__slice",

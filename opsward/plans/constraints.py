@@ -142,8 +142,20 @@ def require(tables: Mapping[str, DataFrame], rules: Iterable[Rule]) -> None:
         raise RuleViolation("; ".join(f"{r.table_name} {r.rule_kind} {r.rule_name}: {r.violations}" for r in failed))
 
 
+def require_keys(tables: Mapping[str, DataFrame]) -> None:
+    """Stop when a primary key is incomplete or repeats."""
+    failed = primary_keys(tables).where("status = 'FAIL'").collect()
+    if failed:
+        raise RuleViolation(
+            "; ".join(f"{r.table_name} primary_key: {r.null_key_rows} incomplete, {r.duplicate_keys} repeated" for r in failed)
+        )
+
+
 def quarantine(table: str, df: DataFrame, rules: Iterable[Rule]) -> tuple[DataFrame, DataFrame]:
-    """Rows that keep every rule and have a unique key, and the others with the names of broken rules."""
+    """Rows that keep every rule and have a unique key, and the others with the names of broken rules.
+
+    All rows that share a key are rejected: nothing tells which of them is right.
+    """
     own = [r for r in rules if r.table == table]
     broken = F.array_compact(F.array(*[F.when(r.broken, F.lit(f"{r.kind}: {r.name}")) for r in own]))
     checked = df.withColumn("broken_rules", broken)

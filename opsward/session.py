@@ -19,7 +19,9 @@ SQL_SETTINGS = {
 # Raw text rows are several times larger than the compressed columns they come from.
 ROW_GROWTH = 4
 SHUFFLE_PARTITION_BYTES = 128 << 20
-MAX_SHUFFLE_PARTITIONS = 100_000
+MAX_SHUFFLE_PARTITIONS = 32_768
+LARGE_INPUT_BYTES = 8 << 40
+LARGE_SPLIT_BYTES = 512 << 20
 
 _local_scratch: dict[str, str] = {}
 
@@ -34,13 +36,25 @@ def configure(spark: SparkSession) -> SparkSession:
 def spread_shuffles(spark: SparkSession, input_bytes: int) -> None:
     """Start shuffles with enough partitions for the input; AQE merges the small ones afterwards.
 
-    Only raises the number: the session's own settings stay when they are larger.
+    Very large inputs are also read in larger splits, which keeps the map-output bookkeeping of
+    the driver small. Only raises the numbers: the session's own settings stay when larger.
     """
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     current = int(spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions"))
     wanted = min(input_bytes * ROW_GROWTH // SHUFFLE_PARTITION_BYTES, MAX_SHUFFLE_PARTITIONS)
     if wanted > current:
         spark.conf.set(key, str(wanted))
+    if input_bytes > LARGE_INPUT_BYTES:
+        split = "spark.sql.files.maxPartitionBytes"
+        if byte_size(spark.conf.get(split)) < LARGE_SPLIT_BYTES:
+            spark.conf.set(split, str(LARGE_SPLIT_BYTES))
+
+
+def byte_size(text: str) -> int:
+    """Number of bytes in a Spark size setting such as 128m or 134217728b."""
+    units = {"k": 10, "m": 20, "g": 30, "t": 40}
+    digits = text.lower().rstrip("b")
+    return int(digits[:-1]) << units[digits[-1]] if digits[-1] in units else int(digits)
 
 
 def scan_bytes(df: DataFrame) -> int:

@@ -81,7 +81,7 @@ def patients(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.selectExpr(
         f"concat(if(p % 10 = 3, ' p', 'P'), {_pad('p', 7)}) as patient_id",
         "case p % 40 when 1 then 'n/a' when 2 then '1899-12-31' when 4 then '2030-01-01' "
-        "else date_format(date_add(date'1930-01-01', cast((p * 7919) % 24000 as int)), 'yyyy-MM-dd') end "
+        "else cast(date_add(date'1930-01-01', cast((p * 7919) % 24000 as int)) as string) end "
         "as date_of_birth",
         "case c_mktsegment when 'MACHINERY' then 'female' when 'BUILDING' then 'M' "
         "when 'AUTOMOBILE' then ' Gender-Diverse ' when 'HOUSEHOLD' then 'Unknown' else 'MALE' end as gender",
@@ -89,7 +89,7 @@ def patients(spark: SparkSession, sf_dir: str) -> DataFrame:
         "when 5 then ' other' else 'European' end as ethnicity",
         "concat('city ', c_nationkey) as city",
         "cast(p % 7 as string) as deprivation_quintile",
-        "date_format(date_add(date'1996-01-01', cast(p % 1000 as int)), 'yyyy-MM-dd') as enrolment_date",
+        "cast(date_add(date'1996-01-01', cast(p % 1000 as int)) as string) as enrolment_date",
     )
 
 
@@ -113,16 +113,16 @@ def referrals(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"when o % 13 = 5 then concat(' p', {_pad('o_custkey', 7)}) else concat('P', {_pad('o_custkey', 7)}) end "
         "as patient_id",
         f"concat('D', {_pad('dep', 6)}) as department_id",
-        "date_format(received, 'yyyy-MM-dd') as referral_date",
+        "cast(received as string) as referral_date",
         "case o_orderpriority when '1-URGENT' then 'Urgent' when '2-HIGH' then 'Semi-Urgent' when '5-LOW' then 'Routine' "
         "when '3-MEDIUM' then 'routine ' else '' end as urgency",
         "case o_orderstatus when 'O' then element_at(array('open', 'Waiting ', 'BOOKED'), cast(o % 3 as int) + 1) "
         "when 'P' then if(o % 2 = 0, 'waiting', 'Cancelled') else if(o % 5 = 0, 'decline', 'completed') end "
         "as referral_status",
-        "case when o % 3 = 2 or fa is null then '' when o % 10 = 0 then date_format(fa, 'yyyy-MM-dd') "
-        "else date_format(date_add(received, abs(datediff(fa, received)) % 600), 'yyyy-MM-dd') end "
+        "case when o % 3 = 2 or fa is null then '' when o % 10 = 0 then cast(fa as string) "
+        "else cast(date_add(received, abs(datediff(fa, received)) % 600) as string) end "
         "as first_appointment_date",
-        "case when o % 4 = 1 then date_format(cl, 'yyyy-MM-dd') else '' end as closed_date",
+        "case when o % 4 = 1 then cast(cl as string) else '' end as closed_date",
         "element_at(array('gp', 'self-referral', 'ED '), cast(o % 3 as int) + 1) as referral_source",
         "cast(o % 8 as string) as priority_score",
     )
@@ -149,16 +149,15 @@ def appointments(spark: SparkSession, sf_dir: str) -> DataFrame:
     arrived = rows.selectExpr(
         "*", "if(l_returnflag = 'A' and l_partkey % 50 <> 0, timestampadd(MINUTE, -5, scheduled), null) as arrived"
     )
-    text = "'yyyy-MM-dd HH:mm:ss'"
     return arrived.selectExpr(
         f"concat('A', {_pad('l_orderkey * 10 + l_linenumber', 8)}) as appointment_id",
         f"concat('P', {_pad('o_custkey', 7)}) as patient_id",
         f"if(l_orderkey % 101 = 0, 'D999999', concat('D', {_pad('l_suppkey', 6)})) as department_id",
         "case when l_linenumber = 1 then '' when l_orderkey % 103 = 0 then 'R9999999' "
         f"else concat('R', {_pad('l_orderkey', 7)}) end as referral_id",
-        f"date_format(scheduled, {text}) as scheduled_datetime",
-        f"date_format(arrived, {text}) as check_in_time",
-        f"date_format(timestampadd(MINUTE, cast(l_quantity as int) - 6, arrived), {text}) as seen_time",
+        "cast(scheduled as string) as scheduled_datetime",
+        "cast(arrived as string) as check_in_time",
+        "cast(timestampadd(MINUTE, cast(l_quantity as int) - 6, arrived) as string) as seen_time",
         "case concat(l_returnflag, l_linestatus) when 'AF' then 'completed' when 'AO' then 'Completed ' "
         "when 'NF' then 'no-show' when 'NO' then 'scheduled' when 'RF' then 'cancelled' else 're-scheduled' end "
         "as appointment_status",
@@ -180,14 +179,13 @@ def ed_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
         "case when e % 45 = 0 then null when e % 60 = 7 then timestampadd(HOUR, -1, arrival) "
         "else timestampadd(SECOND, cast(floor(value * 60) as int), arrival) end as left_at",
     )
-    text = "'yyyy-MM-dd HH:mm:ss'"
     return rows.selectExpr(
         f"concat('V', {_pad('e', 7)}) as visit_id",
         f"if(e % 61 = 0, 'P9999999', concat('P', {_pad('user_id', 7)})) as patient_id",
         f"if(e % 71 = 0, 'F999', concat('F', {_pad('e % 25', 3)})) as facility_id",
-        f"date_format(arrival, {text}) as arrival_time",
+        "cast(arrival as string) as arrival_time",
         "cast(e % 7 as string) as triage_category",
-        f"coalesce(date_format(left_at, {text}), '') as discharge_time",
+        "coalesce(cast(left_at as string), '') as discharge_time",
         "case event_type when 'view' then 'discharged' when 'click' then 'Discharged ' when 'purchase' then 'admitted' "
         "when 'signup' then 'TRANSFERRED' else 'left before treatment' end as disposition",
         "case when event_type = 'purchase' then if(e % 37 = 0, 'No', 'Yes') when e % 41 = 0 then 'YES' else 'no' end "

@@ -48,7 +48,7 @@ def test_matches_brute_force(spark, ignore_nulls, unit, share):
     rows = make_rows(seed=share + len(unit))
     df = spark.createDataFrame(rows, SCHEMA)
     found = previous_value(
-        df, "patient", "arrival", "visit", "discharge", "before", ignore_nulls=ignore_nulls, slice_unit=unit, share=share
+        df, "patient", "arrival", "visit", "discharge", "before", ignore_nulls=ignore_nulls, slice_unit=unit, share=share, min_rows=0
     )
     assert found.columns == ["visit", "patient", "arrival", "discharge", "before"]
     got = {r.visit: r.before for r in found.collect()}
@@ -58,14 +58,15 @@ def test_matches_brute_force(spark, ignore_nulls, unit, share):
 
 def test_hot_keys_are_bounded(spark):
     df = spark.createDataFrame(make_rows(seed=7), SCHEMA)
-    assert [r[0] for r in hot_keys(df, "patient", 4).collect()] == ["hot"]
-    assert hot_keys(df, "patient", 1000).count() < 1000
+    assert [r[0] for r in hot_keys(df, "patient", 4, 0).collect()] == ["hot"]
+    assert 0 < hot_keys(df, "patient", 1000, 0).count() < 1000
+    assert hot_keys(df, "patient").count() == 0  # all keys are small
 
 
 def test_hot_key_is_spread_over_many_windows(spark):
     """The rows of the hot key must not meet in one window partition."""
     df = spark.createDataFrame(make_rows(seed=3), SCHEMA)
-    plan = previous_value(df, "patient", "arrival", "visit", "discharge", "before", share=4)
+    plan = previous_value(df, "patient", "arrival", "visit", "discharge", "before", share=4, min_rows=0)
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning(patient" in text and "__slice" in text
 
