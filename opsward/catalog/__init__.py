@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import basics, insights, quality  # noqa: F401  (registration)
 from .registry import REGISTRY, plain_types
-from .workspace import workspace
+from . import workspace as workspaces
 
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain_types(REGISTRY[name].build(workspace(spark, sf_dir)))
+    return plain_types(REGISTRY[name].build(workspaces.workspace(spark, sf_dir)))
 
 
 __all__ = ["REGISTRY", "run"]

@@ -232,12 +232,17 @@ def _(w):
     return m.daily_rates(w.clean)
 
 
-@query("dm03_top_n_share", f"""
-SELECT {n()} AS groups_counted, sum(c)::BIGINT AS top_total, any_value(g)::BIGINT AS grand_total, {pct('sum(c)', 'any_value(g)')} AS top_share_percentage
-FROM (SELECT c, g FROM (SELECT department_id, {n()} AS c, sum(count(*)) OVER () AS g FROM v_referral WHERE backlog_flag GROUP BY 1)
-  WHERE department_id IS NOT NULL ORDER BY c DESC, department_id LIMIT 10)""")
+def _concentration(measure: str, source: str) -> str:
+    return f"""SELECT '{measure}' AS measure, {n()} AS groups_counted, sum(c)::BIGINT AS top_total, any_value(g)::BIGINT AS grand_total,
+  {pct('sum(c)', 'any_value(g)')} AS top_share_percentage
+FROM (SELECT c, g FROM (SELECT department_id, {n()} AS c, sum(count(*)) OVER () AS g FROM {source} GROUP BY 1)
+  WHERE department_id IS NOT NULL ORDER BY c DESC, department_id LIMIT 10)"""
+
+
+@query("dm03_top_n_share", union_all([
+    _concentration("backlog", "v_referral WHERE backlog_flag"), _concentration("no-shows", "v_appointment WHERE no_show_flag")]))
 def _(w):
-    return m.backlog_concentration(w.clean, w.domain)
+    return m.concentration(w.clean, w.domain)
 
 
 @query("dm04_over_60_share", f"""

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator, Mapping
+from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,17 +23,18 @@ from ..sources.layers import LAYOUTS, Layers, layout, read_raw
 
 
 class LazyTables(Mapping):
-    """Tables by name; each is built when first asked for."""
+    """Tables by name; each is built once, when first asked for, whichever thread asks."""
 
-    def __init__(self, names: tuple[str, ...], build: Callable[[str], DataFrame]):
-        self._names, self._build, self._built = names, build, {}
+    def __init__(self, names: tuple[str, ...], build: Callable[[str], DataFrame], lock: RLock):
+        self._names, self._build, self._lock, self._built = names, build, lock, {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._names:
             raise KeyError(name)
-        if name not in self._built:
-            self._built[name] = self._build(name)
-        return self._built[name]
+        with self._lock:
+            if name not in self._built:
+                self._built[name] = self._build(name)
+            return self._built[name]
 
     def __iter__(self) -> Iterator[str]:
         return iter(self._names)
@@ -51,13 +53,14 @@ class Workspace:
             drop_on_exit(spark, base)
             self.layers = Layers(spark, f"{base}/{hashlib.sha256(sf_dir.encode()).hexdigest()[:16]}")
         spread_shuffles(spark, sum(scan_bytes(self.source(t)) for t in ("lineitem", "orders", "events")))
+        lock = RLock()
         with_mappings = (*schemas.TABLES, "reference_mappings")
-        self.raw = LazyTables(schemas.TABLES, self._build_raw)
-        self.clean = LazyTables(with_mappings, self._build_clean)
-        self.csv = LazyTables(schemas.TABLES, self._build_csv)
-        self.clustered = LazyTables(tuple(LAYOUTS), self._build_clustered)
-        self.damaged_raw = LazyTables(schemas.TABLES, self._build_damaged_raw)
-        self.damaged_clean = LazyTables(with_mappings, self._build_damaged_clean)
+        self.raw = LazyTables(schemas.TABLES, self._build_raw, lock)
+        self.clean = LazyTables(with_mappings, self._build_clean, lock)
+        self.csv = LazyTables(schemas.TABLES, self._build_csv, lock)
+        self.clustered = LazyTables(tuple(LAYOUTS), self._build_clustered, lock)
+        self.damaged_raw = LazyTables(schemas.TABLES, self._build_damaged_raw, lock)
+        self.damaged_clean = LazyTables(with_mappings, self._build_damaged_clean, lock)
 
     def source(self, name: str) -> DataFrame:
         return binding.table(self.spark, self.sf_dir, name)
@@ -97,10 +100,12 @@ class Workspace:
 
 
 _open: dict[tuple[str, str], Workspace] = {}
+_open_lock = RLock()
 
 
 def workspace(spark: SparkSession, sf_dir: str) -> Workspace:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if key not in _open:
-        _open[key] = Workspace(spark, sf_dir.rstrip("/"))
-    return _open[key]
+    with _open_lock:
+        if key not in _open:
+            _open[key] = Workspace(spark, sf_dir.rstrip("/"))
+        return _open[key]

@@ -73,11 +73,18 @@ def daily_rates(clean: Clean, fact: str = "referrals") -> DataFrame:
     )
 
 
-def backlog_concentration(clean: Clean, domain: Domain, n: int = 10) -> DataFrame:
-    """Share of the backlog that the n departments with the largest backlog hold."""
-    backlog = referral_view(clean, domain, ()).where("backlog_flag")
-    counts = backlog.groupBy("department_id").agg(F.count("*").alias("backlog"))
-    return top_n_share(counts, "backlog", ["department_id"], n)
+def concentration(clean: Clean, domain: Domain, n: int = 10) -> DataFrame:
+    """Share of the backlog and of the no-shows that the n largest departments hold."""
+    events = {
+        "backlog": referral_view(clean, domain, ()).where("backlog_flag"),
+        "no-shows": appointment_view(clean, domain, ()).where("no_show_flag"),
+    }
+    parts = []
+    for measure, rows in events.items():
+        counts = rows.groupBy("department_id").agg(F.count("*").alias("records"))
+        shares = top_n_share(counts, "records", ["department_id"], n)
+        parts.append(shares.select(F.lit(measure).alias("measure"), *shares.columns))
+    return _union(parts)
 
 
 def oldest_band_share(clean: Clean, domain: Domain) -> DataFrame:

@@ -1,8 +1,11 @@
 """Column helpers, one behaviour per test."""
 
 import datetime as dt
+import decimal
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from opsward import functions as fn
@@ -18,6 +21,18 @@ def test_pct_rounds_half_away_from_zero_and_guards_zero(spark):
     assert got == [50.57, 33.33, 0.13, -0.13, None, 0.04]
 
 
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.integers(-10**9, 10**9), st.integers(1, 10**9)), min_size=50, max_size=200))
+def test_pct_equals_decimal_arithmetic(spark, pairs):
+    got = evaluate(spark, fn.pct(F.col("n"), F.col("d")), pairs, "n long, d long")
+    cent = decimal.Decimal("0.01")
+    with decimal.localcontext(prec=60):
+        exact = [
+            float((decimal.Decimal(n * 100) / d).quantize(cent, rounding=decimal.ROUND_HALF_UP)) for n, d in pairs
+        ]
+    assert sorted(got) == sorted(exact)
+
+
 def test_average_of_decimals_is_rounded_once(spark):
     df = spark.createDataFrame([("1.01",), ("1.02",), ("1.00",), ("1.01",), (None,)], "v string")
     df = df.select(F.col("v").cast("decimal(18,2)").alias("v"))

@@ -5,8 +5,9 @@ import pytest
 import __spark_entry__ as contract
 from compare import connect, differences, duck_rows, spark_rows
 from conftest import SF_DIR
-from opsward.catalog.workspace import workspace
-from opsward.plans import questions, views
+from opsward.catalog import workspace as workspaces
+from opsward.catalog.registry import REGISTRY, plain_types
+from opsward.plans import model, questions, views
 
 QUERIES, TWINS = contract.queries(), contract.oracle_sql()
 
@@ -31,7 +32,7 @@ def test_entry(spark):
 
 @pytest.fixture(scope="module")
 def w(spark):
-    return workspace(spark, SF_DIR)
+    return workspaces.workspace(spark, SF_DIR)
 
 
 def test_results_do_not_depend_on_broadcasts(spark, w, duck):
@@ -73,6 +74,27 @@ def test_registered_views_answer_sql(spark, w):
     assert row.n == questions.backlog_network(w.clean, w.domain).first().total_backlog_referrals
 
 
+def test_everything_can_stay_lazy(spark, duck, monkeypatch):
+    """Without a shared folder nothing is stored and the answers are the same."""
+    monkeypatch.setattr(workspaces, "shared_folder", lambda _: None)
+    lazy = workspaces.Workspace(spark, SF_DIR)
+    assert lazy.layers is None
+    for name in ("bq02_backlog_by_department", "bq14_return_within_window", "cl04_referrals"):
+        df = plain_types(REGISTRY[name].build(lazy))
+        assert differences(spark_rows(df), duck_rows(duck, TWINS[name])) is None
+
+
+def test_kpis_per_group_add_up_to_the_network(w):
+    facts = {"ed_visits": views.ed_visit_view(w.clean, w.domain, {"facilities"})}
+    kpis = [k for k in model.kpi_catalogue() if k.fact == "ed_visits"]
+    whole = {r.kpi_name: r for r in model.evaluate_kpis(facts, kpis).collect()}
+    regional = model.evaluate_kpis(facts, kpis, ["hospital_region"]).collect()
+    for name, row in whole.items():
+        assert sum(r.denominator for r in regional if r.kpi_name == name) == row.denominator
+        assert sum(r.numerator for r in regional if r.kpi_name == name) == row.numerator
+        assert all(0 <= r.kpi_value <= 100 for r in regional if r.kpi_name == name and name.endswith("%"))
+
+
 def test_breakdowns_add_up(w):
     total = w.clean["ed_visits"].count()
     for df, column in (
