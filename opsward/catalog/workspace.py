@@ -95,7 +95,8 @@ class Workspace:
     def _finish(self, layer: str, name: str, raw: Mapping, clean: Mapping) -> DataFrame:
         if name == "reference_mappings":
             return build_mappings(self.spark, self.domain)
-        df = clean_table(name, raw[name], clean, self.domain)
+        store = self.layers.orphan_store(name, layer) if self.layers else None
+        df = clean_table(name, raw[name], clean, self.domain, store)
         return self.layers.write_clean(name, df, layer) if self.layers else df
 
 

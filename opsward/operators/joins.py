@@ -7,12 +7,16 @@ split at run time.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import norm_id, trimmed
+from ..session import byte_size, scan_bytes
+
+# Keeps a frame under a name in a shared folder and returns the stored frame.
+Store = Callable[[str, DataFrame], DataFrame]
 
 
 def enrich(fact: DataFrame, dims: Sequence[tuple[DataFrame, str]]) -> DataFrame:
@@ -31,19 +35,43 @@ def map_by_table(df: DataFrame, lookup: str, mappings: DataFrame, group: str, ou
 
 
 def resolve_fk(
-    child: DataFrame, parent: DataFrame, lookup: str, key: str, flag_name: str, optional: bool = False
+    child: DataFrame,
+    parent: DataFrame,
+    lookup: str,
+    key: str,
+    flag_name: str,
+    optional: bool = False,
+    store: Store | None = None,
 ) -> DataFrame:
     """Replace ``lookup`` by ``key``, which is NULL when the parent does not exist, plus an issue flag.
 
     A blank key counts as an issue unless the relationship is optional.
+
+    A parent small enough to broadcast is joined directly. Joining a larger one would shuffle the
+    whole child, so with a ``store`` the child's distinct keys are compared with the parent
+    instead: that shuffles one narrow row per key and task however often a key occurs, and leaves
+    the keys without a parent. Those are stored, which tells Spark their size, and the child is
+    joined with them: by broadcast as long as they are few, by shuffle otherwise.
     """
-    known = parent.select(F.col(key).alias("__parent"))
-    found = child.join(known, F.col(lookup) == F.col("__parent"), "left")
-    missing = F.col("__parent").isNull()
-    if optional:
-        missing = missing & F.col(lookup).isNotNull()
     others = [c for c in child.columns if c not in (lookup, key)]
-    return found.select(*others, F.col("__parent").alias(key), missing.alias(flag_name))
+    known = parent.select(F.col(key).alias("__parent"))
+    if store is None or broadcastable(known):
+        found = child.join(known, F.col(lookup) == F.col("__parent"), "left")
+        resolved, unknown = F.col("__parent"), F.col("__parent").isNull()
+    else:
+        used = child.select(F.col(lookup).alias("__missing")).where(F.col(lookup).isNotNull()).distinct()
+        missing = store(key, used.join(known, F.col("__missing") == F.col("__parent"), "left_anti"))
+        found = child.join(missing, F.col(lookup) == F.col("__missing"), "left")
+        unknown = F.col("__missing").isNotNull() | F.col(lookup).isNull()
+        resolved = F.when(~unknown, F.col(lookup))
+    issue = unknown & F.col(lookup).isNotNull() if optional else unknown
+    return found.select(*others, resolved.alias(key), issue.alias(flag_name))
+
+
+def broadcastable(df: DataFrame) -> bool:
+    """Whether Spark would broadcast this side by its estimated size."""
+    limit = byte_size(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+    return 0 <= scan_bytes(df) <= limit
 
 
 def orphan_counts(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:

@@ -49,7 +49,7 @@ def build_clean(
     mappings = build_mappings(layers.spark, domain)
     clean = {"reference_mappings": layers.write_clean("reference_mappings", mappings)}
     for table in schemas.TABLES:
-        df = clean_table(table, layers.read("raw", table), clean, domain)
+        df = clean_table(table, layers.read("raw", table), clean, domain, layers.orphan_store(table))
         if clustered and table in LAYOUTS:
             df = layout(df, *LAYOUTS[table])
         if on_violation == "quarantine":

@@ -29,7 +29,7 @@ from ..functions import (
     parse_timestamp,
     trimmed,
 )
-from ..operators.joins import map_by_table, resolve_fk
+from ..operators.joins import Store, map_by_table, resolve_fk
 from ..operators.keys import exact_dedupe
 from ..schemas import Domain
 
@@ -94,7 +94,9 @@ def clean_patients(raw: DataFrame, mappings: DataFrame, domain: Domain) -> DataF
     )
 
 
-def clean_referrals(raw: DataFrame, patients: DataFrame, departments: DataFrame, mappings: DataFrame) -> DataFrame:
+def clean_referrals(
+    raw: DataFrame, patients: DataFrame, departments: DataFrame, mappings: DataFrame, store: Store | None = None
+) -> DataFrame:
     prepared = raw.select(
         norm_id(F.col("referral_id")).alias("referral_id"),
         norm_id(F.col("patient_id")).alias("patient_key"),
@@ -107,8 +109,10 @@ def clean_referrals(raw: DataFrame, patients: DataFrame, departments: DataFrame,
         norm_label(F.col("referral_source")).alias("referral_source"),
         parse_score(F.col("priority_score")).alias("priority_score"),
     )
-    linked = resolve_fk(prepared, patients, "patient_key", "patient_id", "patient_id_issue_flag")
-    linked = resolve_fk(linked, departments, "department_key", "department_id", "department_id_issue_flag")
+    linked = resolve_fk(prepared, patients, "patient_key", "patient_id", "patient_id_issue_flag", store=store)
+    linked = resolve_fk(
+        linked, departments, "department_key", "department_id", "department_id_issue_flag", store=store
+    )
     mapped = map_by_table(linked, "status_key", mappings, "referral_status", "referral_status")
     start = F.col("referral_date")
     finished = mapped.select(
@@ -128,7 +132,12 @@ def clean_referrals(raw: DataFrame, patients: DataFrame, departments: DataFrame,
 
 
 def clean_appointments(
-    raw: DataFrame, patients: DataFrame, departments: DataFrame, referrals: DataFrame, mappings: DataFrame
+    raw: DataFrame,
+    patients: DataFrame,
+    departments: DataFrame,
+    referrals: DataFrame,
+    mappings: DataFrame,
+    store: Store | None = None,
 ) -> DataFrame:
     prepared = raw.select(
         norm_id(F.col("appointment_id")).alias("appointment_id"),
@@ -142,9 +151,13 @@ def clean_appointments(
         map_values(F.col("appointment_type"), _values(schemas.APPOINTMENT_TYPES)).alias("appointment_type"),
         map_values(F.col("booking_channel"), _values(schemas.BOOKING_CHANNELS)).alias("booking_channel"),
     )
-    linked = resolve_fk(prepared, patients, "patient_key", "patient_id", "patient_id_issue_flag")
-    linked = resolve_fk(linked, departments, "department_key", "department_id", "department_id_issue_flag")
-    linked = resolve_fk(linked, referrals, "referral_key", "referral_id", "referral_id_issue_flag", optional=True)
+    linked = resolve_fk(prepared, patients, "patient_key", "patient_id", "patient_id_issue_flag", store=store)
+    linked = resolve_fk(
+        linked, departments, "department_key", "department_id", "department_id_issue_flag", store=store
+    )
+    linked = resolve_fk(
+        linked, referrals, "referral_key", "referral_id", "referral_id_issue_flag", optional=True, store=store
+    )
     mapped = map_by_table(linked, "status_key", mappings, "appointment_status", "appointment_status")
     arrived, seen = F.col("check_in_time"), F.col("seen")
     reversed_times = flag(seen < arrived)
@@ -161,7 +174,9 @@ def clean_appointments(
     return exact_dedupe(finished)
 
 
-def clean_ed_visits(raw: DataFrame, patients: DataFrame, facilities: DataFrame) -> DataFrame:
+def clean_ed_visits(
+    raw: DataFrame, patients: DataFrame, facilities: DataFrame, store: Store | None = None
+) -> DataFrame:
     prepared = raw.select(
         norm_id(F.col("visit_id")).alias("visit_id"),
         norm_id(F.col("patient_id")).alias("patient_key"),
@@ -173,8 +188,8 @@ def clean_ed_visits(raw: DataFrame, patients: DataFrame, facilities: DataFrame)
         map_values(F.col("admitted_flag"), schemas.YES_NO).alias("admitted_flag"),
         map_values(F.col("presenting_group"), _values(schemas.PRESENTING_GROUPS)).alias("presenting_group"),
     )
-    linked = resolve_fk(prepared, patients, "patient_key", "patient_id", "patient_id_issue_flag")
-    linked = resolve_fk(linked, facilities, "facility_key", "facility_id", "facility_id_issue_flag")
+    linked = resolve_fk(prepared, patients, "patient_key", "patient_id", "patient_id_issue_flag", store=store)
+    linked = resolve_fk(linked, facilities, "facility_key", "facility_id", "facility_id_issue_flag", store=store)
     left_at, arrival = F.col("left_at"), F.col("arrival_time")
     admitted = F.col("disposition") == "Admitted"
     finished = linked.select(
@@ -190,7 +205,9 @@ def clean_ed_visits(raw: DataFrame, patients: DataFrame, facilities: DataFrame)
     return exact_dedupe(finished)
 
 
-def clean_table(table: str, raw: DataFrame, clean: Mapping[str, DataFrame], domain: Domain) -> DataFrame:
+def clean_table(
+    table: str, raw: DataFrame, clean: Mapping[str, DataFrame], domain: Domain, store: Store | None = None
+) -> DataFrame:
     """Clean one table; ``clean`` holds the finished parents and the reference mappings."""
     if table == "facilities":
         return clean_facilities(raw, clean["reference_mappings"])
@@ -198,22 +215,18 @@ def clean_table(table: str, raw: DataFrame, clean: Mapping[str, DataFrame], doma
         return clean_departments(raw)
     if table == "patients":
         return clean_patients(raw, clean["reference_mappings"], domain)
+    parents = [clean[name] for name in PARENTS[table]]
     if table == "referrals":
-        return clean_referrals(raw, clean["patients"], clean["departments"], clean["reference_mappings"])
+        return clean_referrals(raw, *parents, store=store)
     if table == "appointments":
-        return clean_appointments(
-            raw, clean["patients"], clean["departments"], clean["referrals"], clean["reference_mappings"]
-        )
+        return clean_appointments(raw, *parents, store=store)
     if table == "ed_visits":
-        return clean_ed_visits(raw, clean["patients"], clean["facilities"])
+        return clean_ed_visits(raw, *parents, store=store)
     raise KeyError(table)
 
 
-# Tables each cleaner reads besides its own raw table.
+# Tables each fact cleaner reads besides its own raw table, in the order of its arguments.
 PARENTS = {
-    "facilities": ("reference_mappings",),
-    "departments": (),
-    "patients": ("reference_mappings",),
     "referrals": ("patients", "departments", "reference_mappings"),
     "appointments": ("patients", "departments", "referrals", "reference_mappings"),
     "ed_visits": ("patients", "facilities"),

@@ -53,7 +53,7 @@ def spread_shuffles(spark: SparkSession, input_bytes: int) -> None:
 def byte_size(text: str) -> int:
     """Number of bytes in a Spark size setting such as 128m or 134217728b."""
     units = {"k": 10, "m": 20, "g": 30, "t": 40}
-    digits = text.lower().rstrip("b")
+    digits = str(text).lower().rstrip("b")
     return int(digits[:-1]) << units[digits[-1]] if digits[-1] in units else int(digits)
 
 

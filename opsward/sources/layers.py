@@ -33,6 +33,7 @@ class Layers:
     """Namespaces ``raw``, ``clean`` and ``analytics`` below one base folder, one Parquet table each."""
 
     NAMES = ("raw", "clean", "analytics")
+    TYPED = ("clean", "clean_staged", "clean_damaged")
 
     def __init__(self, spark: SparkSession, base_path: str):
         self.spark = spark
@@ -56,11 +57,15 @@ class Layers:
         fields = [part.strip().split(" ") for part in schemas.CLEAN_DDL[table].split(",")]
         return self.write(layer, table, df.select(*[F.col(name).cast(kind) for name, kind in fields]))
 
+    def orphan_store(self, table: str, layer: str = "clean"):
+        """Keeps the keys of a table that have no parent, one small table per relationship."""
+        return lambda key, df: self.write(f"{layer}_orphans", f"{table}_{key}", df)
+
     def read(self, layer: str, table: str) -> DataFrame:
         reader = self.spark.read
-        if layer.startswith("raw"):
+        if layer == "raw":
             reader = reader.schema(schemas.raw_schema(table))
-        elif layer.startswith("clean"):
+        elif layer in self.TYPED:
             reader = reader.schema(schemas.CLEAN_DDL[table])
         return reader.parquet(self.path(layer, table))
 

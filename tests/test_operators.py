@@ -48,6 +48,23 @@ def test_resolve_fk_required_and_optional(spark):
     assert rows(optional) == [(1, "P1", False), (2, None, True), (3, None, False)]
 
 
+def test_resolve_fk_beyond_the_broadcast_limit(spark, monkeypatch):
+    parent = spark.createDataFrame([(f"P{i}",) for i in range(50)], "pid string")
+    child = spark.createDataFrame([(i, None if i % 7 == 0 else f"P{i % 60}") for i in range(500)], "id int, look string")
+    stored = []
+
+    def store(name, df):
+        stored.append((name, sorted(r[0] for r in df.collect())))
+        return df
+
+    for optional in (False, True):
+        direct = joins.resolve_fk(child, parent, "look", "pid", "issue", optional)
+        monkeypatch.setattr(joins, "broadcastable", lambda _: False)
+        by_missing_keys = joins.resolve_fk(child, parent, "look", "pid", "issue", optional, store)
+        assert rows(by_missing_keys) == rows(direct)
+    assert stored[0] == ("pid", [f"P{i}" for i in range(50, 60)])
+
+
 def test_orphans_use_normalised_keys(spark):
     parent = spark.createDataFrame([(" f1",), ("F2 ",)], "fid string")
     child = spark.createDataFrame([("F1",), (" f9 ",), ("F9",), ("",), (None,)], "fid string")

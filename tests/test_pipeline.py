@@ -71,11 +71,29 @@ def test_violations_stop_or_move(spark, landing, tmp_path):
         pipeline.build_clean(layers, domain)
     clean = pipeline.build_clean(layers, domain, on_violation="quarantine")
     assert clean["patients"].count() == 2
-    assert layers.read("clean_rejected", "patients").select("patient_id").collect()[0][0] == "P000003"
+    rejected = layers.read("clean_rejected", "patients").first()
+    assert (rejected.patient_id, rejected.broken_rules) == ("P000003", ["not_null: gender"])
     with pytest.raises(ValueError):
         pipeline.build_clean(layers, domain, on_violation="ignore")
 
 
+def test_large_parents_give_the_same_clean_rows(spark, landing, tmp_path):
+    """Beyond the broadcast limit only keys without a parent are joined with the facts."""
+    layers, domain = Layers(spark, str(tmp_path / "base")), Domain()
+    pipeline.load(layers, str(landing))
+    small = {t: sorted(map(str, df.collect())) for t, df in pipeline.build_clean(layers, domain).items()}
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        other = Layers(spark, str(tmp_path / "other"))
+        pipeline.load(other, str(landing))
+        large = {t: sorted(map(str, df.collect())) for t, df in pipeline.build_clean(other, domain).items()}
+        orphans = [r[0] for r in other.read("clean_orphans", "referrals_patient_id").collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert large == small and orphans == ["P000009"]
+
+
 def test_repeated_key_stops(spark, landing, tmp_path):
     with open(landing / "departments_raw.csv", "a", encoding="utf-8") as f:
         f.write("D001,F001,Cardiology,Medical,91,21,30\n")
