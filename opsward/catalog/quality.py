@@ -198,8 +198,14 @@ def _clean_query(table: str):
     return lambda w: w.clean[table]
 
 
+def _wide_integers(table: str) -> str:
+    """All columns of a clean table, whole numbers as BIGINT."""
+    parts = [p.split() for p in schemas.CLEAN_DDL[table].split(",")]
+    return ", ".join(f"{c}::BIGINT AS {c}" if kind in ("int", "smallint") else c for c, kind in parts)
+
+
 for _i, _t in enumerate(TABLES, start=1):
-    query(f"cl{_i:02d}_{_t}", f"SELECT * FROM clean_{_t}")(_clean_query(_t))
+    query(f"cl{_i:02d}_{_t}", f"SELECT {_wide_integers(_t)} FROM clean_{_t}")(_clean_query(_t))
 
 
 # Rules over the damaged clean layer
@@ -381,8 +387,8 @@ def _(w):
     return vl.completeness(w.clean["patients"], "ethnicity")
 
 
-@query("vl10_flagged_rows", """
-SELECT * FROM clean_patients WHERE ethnicity_missing_flag OR date_of_birth_issue_flag OR deprivation_quintile_issue_flag""")
+@query("vl10_flagged_rows", f"""
+SELECT {_wide_integers('patients')} FROM clean_patients WHERE ethnicity_missing_flag OR date_of_birth_issue_flag OR deprivation_quintile_issue_flag""")
 def _(w):
     return vl.flagged_rows("patients", w.clean["patients"])
 
@@ -464,7 +470,7 @@ def _(w):
 # Keyed upsert of regional bed capacities: incoming rows win
 
 @query("snk03_upsert", """
-SELECT facility_id, facility_name, bed_capacity FROM clean_facilities WHERE bed_capacity IS NULL
+SELECT facility_id, facility_name, bed_capacity::BIGINT AS bed_capacity FROM clean_facilities WHERE bed_capacity IS NULL
 UNION ALL SELECT facility_id, upper(facility_name), bed_capacity + 1 FROM clean_facilities WHERE bed_capacity IS NOT NULL
 UNION ALL SELECT 'N' || department_id, department_name, routine_target_days FROM clean_departments""")
 def _(w):
