@@ -46,8 +46,7 @@ def build_clean(
     if on_violation not in MODES:
         raise ValueError(f"on_violation must be one of {MODES}")
     rules = constraints.row_rules(domain)
-    mappings = build_mappings(layers.spark, domain)
-    clean = {"reference_mappings": layers.write_clean("reference_mappings", mappings)}
+    clean = {"reference_mappings": refresh_mappings(layers, domain)}
     for table in schemas.TABLES:
         df = clean_table(table, layers.read("raw", table), clean, domain, layers.orphan_store(table))
         if clustered and table in LAYOUTS:
@@ -65,6 +64,14 @@ def build_clean(
     return clean
 
 
+def refresh_mappings(layers: Layers, domain: Domain) -> DataFrame:
+    """Upsert the approved mappings into the stored table; mappings added by others stay."""
+    name = "reference_mappings"
+    existing = layers.read("clean", name) if layers.exists("clean", name) else None
+    staged = layers.write_clean(name, build_mappings(layers.spark, domain, existing), "clean_staged")
+    return layers.write_clean(name, staged)
+
+
 def open_clean(layers: Layers) -> dict[str, DataFrame]:
     return {t: layers.read("clean", t) for t in (*schemas.TABLES, "reference_mappings")}
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,6 +58,13 @@ class Layers:
         fields = [part.strip().split(" ") for part in schemas.CLEAN_DDL[table].split(",")]
         return self.write(layer, table, df.select(*[F.col(name).cast(kind) for name, kind in fields]))
 
+    def exists(self, layer: str, table: str) -> bool:
+        try:
+            self.spark.read.parquet(self.path(layer, table))
+        except AnalysisException:
+            return False
+        return True
+
     def orphan_store(self, table: str, layer: str = "clean"):
         """Keeps the keys of a table that have no parent, one small table per relationship."""
         return lambda key, df: self.write(f"{layer}_orphans", f"{table}_{key}", df)

@@ -94,6 +94,17 @@ def test_large_parents_give_the_same_clean_rows(spark, landing, tmp_path):
     assert large == small and orphans == ["P000009"]
 
 
+def test_own_mappings_survive_a_rebuild(spark, landing, tmp_path):
+    layers, domain = Layers(spark, str(tmp_path / "base")), Domain()
+    approved = pipeline.refresh_mappings(layers, domain)
+    extra = [("gender", "f", "Female"), ("gender", "male", "Wrong")]
+    own = spark.createDataFrame(extra, schemas.CLEAN_DDL["reference_mappings"])
+    kept = [tuple(r) for r in approved.where("raw_value_normalised <> 'male'").collect()]
+    layers.write_clean("reference_mappings", own.unionByName(spark.createDataFrame(kept, own.schema)))
+    found = {(r[0], r[1]): r[2] for r in pipeline.refresh_mappings(layers, domain).collect()}
+    assert len(found) == 25 and found["gender", "f"] == "Female" and found["gender", "male"] == "Male"
+
+
 def test_repeated_key_stops(spark, landing, tmp_path):
     with open(landing / "departments_raw.csv", "a", encoding="utf-8") as f:
         f.write("D001,F001,Cardiology,Medical,91,21,30\n")
