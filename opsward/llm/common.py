@@ -19,10 +19,16 @@ from ..session import configure, drop_on_exit, scan_bytes, shared_folder
 #: What counts as white space in the contracts: blank and U+0009 to U+000D.
 WHITE = r"[\x20\x09-\x0D]"
 SHARD_BYTES = 64 << 20
+UNKNOWN_BYTES = 1 << 60
+
+
+#: Rows that reach a Python worker at once; bounds its memory where texts are long.
+BATCH_ROWS = "1000"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def whole_text(name: str = "text") -> Column:
@@ -65,8 +71,11 @@ def mapped_path(folder: str) -> str:
 
 
 def shards(df: DataFrame, bytes_each: int = SHARD_BYTES, least: int = 16) -> int:
-    """Number of shards for a table, from the bytes its scan reads."""
-    return max(least, -(-scan_bytes(df) // bytes_each))
+    """Number of shards for a table, from the bytes its scan reads; the session's number where none are known."""
+    known = scan_bytes(df)
+    if known >= UNKNOWN_BYTES:
+        return max(least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return max(least, -(-known // bytes_each))
 
 
 def batches(frames: Iterator, most_chars: int, text_at: str = "text") -> Iterator:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, line_chunks
+from . import exact_dedup, line_chunks, packing, token_files
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +32,14 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_line_chunks", line_chunks.ORACLE)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_chunks.dedupe_lines(table(spark, sf_dir, "documents"))
+
+
+@query("op1_token_files")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = token_files.write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.read_token_files(manifest)
+
+
+@query("op6_packing")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
