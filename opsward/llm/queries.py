@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, exact_dedup, line_chunks, packing, token_files, toxicity
+from . import decontamination, exact_dedup, language_id, line_chunks, packing, quality, token_files, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,13 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_toxicity")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op5_quality")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op8_language_id")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.predict_languages(table(spark, sf_dir, "documents"))
