@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, exact_dedup, language_id, line_chunks, packing, quality, token_files, toxicity
+from . import decontamination, exact_dedup, jaccard_join, kneser_ney, language_id, line_chunks, packing, quality, token_files, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,13 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_language_id")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict_languages(table(spark, sf_dir, "documents"))
+
+
+@query("op4_jaccard_join")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query("op7_kneser_ney")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.score(table(spark, sf_dir, "documents"))
