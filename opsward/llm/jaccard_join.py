@@ -11,7 +11,8 @@ that the partner misses breaks two neighbour pairs and one that only the partner
 and added tokens together cost at most 2(1-t)n pairs, so 2(1-t)n - 2r + 2 frequent tokens leave an intact
 pair. Of two linked sets, the one whose prefix ends first therefore shares an entry with the other.
 
-Verification. Entries with two or more classes propose pairs of compatible sizes. First each class meets
+Verification. Entries with two or more classes propose pairs of compatible sizes. A pair whose token
+counts per hash bin (``shape``) already rule out the overlap is dropped; the rest compare their sets. First each class meets
 one hub per entry, in HUB_ROUNDS rounds with changing hubs; classes that a link already joined need no
 further pair. What is left in different components is then compared in full, so no link that matters for
 the groups is lost and a large group of near copies doesn't cost all its pairs. Sizes and intersections
@@ -39,12 +40,13 @@ from ..session import scan_bytes
 from .common import UNKNOWN_BYTES, store, whole_text
 from .words import SPREAD, mix, word_hashes, words_of
 
-HUB_ROUNDS = 2
+HUB_ROUNDS = 3
 #: Size bound of a broadcast list of classes; longer lists are joined by a shuffle.
 BROADCAST_ROWS = 400_000
 #: A token counts as frequent when its sketch cell holds more than this many times the mean cell.
 FREQUENT = 8
-BLOCK = 1 << 14
+BLOCK = 1 << 16
+FEW_BINS, MANY_BINS, LARGE_SET = 64, 256, 1000
 
 
 def shingles(text: str, size: int) -> np.ndarray:
@@ -86,9 +88,28 @@ def entries(tokens: np.ndarray, percent: int, sketch: np.ndarray, frequent: floa
     return np.concatenate([mix(tokens[order[:rare]]), pairs]).view(np.int64)
 
 
+def shape(tokens: np.ndarray) -> bytes:
+    """Number of tokens in each of FEW_BINS or, for large sets, MANY_BINS hash bins."""
+    bins = FEW_BINS if len(tokens) <= LARGE_SET else MANY_BINS
+    return np.bincount((tokens >> np.uint64(40)).astype(np.int64) % bins, minlength=bins).astype("<u4" if len(tokens) >= 1 << 16 else "<u2").tobytes()
+
+
+def _bins(n: int, packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, "<u4" if n >= 1 << 16 else "<u2").astype(np.int64)
+
+
+def may_link(n: int, a: bytes, m: int, b: bytes, percent: int) -> bool:
+    """False only if the bins prove that two sets of n and m tokens overlap too little."""
+    x, y = _bins(n, a), _bins(m, b)
+    if len(x) != len(y):
+        x, y = (z.reshape(-1, FEW_BINS).sum(axis=0) for z in (x, y))
+    most = int(np.minimum(x, y).sum())
+    return 100 * most >= percent * (n + m - most)
+
+
 def _sketch_size(docs: DataFrame) -> int:
     known = scan_bytes(docs)
-    bits = 20 if known >= UNKNOWN_BYTES else int(np.ceil(np.log2(max(known, 1) / 1024)))
+    bits = 20 if known >= UNKNOWN_BYTES else int(np.ceil(np.log2(max(known, 1) / 128)))
     return 1 << min(max(bits, 16), 24)
 
 
@@ -96,7 +117,7 @@ def token_sketch(texts: DataFrame, size: int, cells: int) -> np.ndarray:
     """How many documents hold a token of each cell, over all documents; added up block by block."""
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(cells, np.int64)
+        total = np.zeros(cells, np.uint32)
         for frame in frames:
             for text in frame["text"]:
                 np.add.at(total, (shingles(text, size) & np.uint64(cells - 1)).astype(np.int64), 1)
@@ -104,14 +125,17 @@ def token_sketch(texts: DataFrame, size: int, cells: int) -> np.ndarray:
         yield pd.DataFrame([(b, zlib.compress(p.tobytes(), 1)) for b, p in parts if p.any()], columns=["block", "counts"])
 
     def add(frame: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(zlib.decompress(x), np.int64) for x in frame["counts"])
+        total = np.zeros(BLOCK, np.uint64)
+        for x in frame["counts"]:
+            total += np.frombuffer(zlib.decompress(x), np.uint32)
+        total = np.minimum(total, 0xFFFFFFFF).astype(np.uint32)
         return pd.DataFrame({"block": [int(frame["block"].iloc[0])], "counts": [zlib.compress(total.tobytes(), 1)]})
 
     schema = "block int, counts binary"
     rows = store(texts.mapInPandas(count, schema).groupBy("block").applyInPandas(add, schema), "sketch").collect()
-    sketch = np.zeros(cells, np.int64)
+    sketch = np.zeros(cells, np.uint32)
     for r in rows:
-        sketch[r.block * BLOCK : (r.block + 1) * BLOCK] = np.frombuffer(zlib.decompress(bytes(r.counts)), np.int64)
+        sketch[r.block * BLOCK : (r.block + 1) * BLOCK] = np.frombuffer(zlib.decompress(bytes(r.counts)), np.uint32)
     return sketch
 
 
@@ -122,13 +146,14 @@ def members_of(docs: DataFrame, size: int, percent: int) -> DataFrame:
     frequent = FREQUENT * max(1.0, float(sketch.mean()))
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
-    @F.pandas_udf("struct<key: binary, n: long, entries: array<long>>")
+    @F.pandas_udf("struct<key: binary, n: long, entries: array<long>, shape: binary>")
     def describe(text: pd.Series) -> pd.DataFrame:
         rows = []
         for one in text:
             tokens = shingles(one, size)
-            rows.append((set_key(tokens), len(tokens), entries(tokens, percent, shared.value, frequent)))
-        return pd.DataFrame(rows, columns=["key", "n", "entries"])
+            index = entries(tokens, percent, shared.value, frequent)
+            rows.append((set_key(tokens), len(tokens), index, shape(tokens) if len(index) else b""))
+        return pd.DataFrame(rows, columns=["key", "n", "entries", "shape"])
 
     described = texts.select("doc_id", F.xxhash64("text").alias("digest"), describe("text").alias("set"))
     return store(described.select("doc_id", "digest", "set.*"), "members")
@@ -189,16 +214,28 @@ def _labelled(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
     return met.withColumn("component", F.coalesce("component", "key"))
 
 
-def class_links(docs: DataFrame, members: DataFrame, size: int, percent: int) -> DataFrame | None:
+def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs that sizes and shapes leave possible, with the document that represents each class."""
+
+    @F.pandas_udf("boolean")
+    def possible(n: pd.Series, a: pd.Series, m: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([may_link(*x, percent) for x in zip(n, a, m, b)], dtype=bool)
+
+    side = lambda x, n: classes.select(F.col("key").alias(x), F.col("rep").alias(f"rep_{x}"), F.col("n").alias(n), F.col("shape").alias(f"shape_{x}"))
+    met = pairs.join(side("a", "n"), "a").join(side("b", "m"), "b")
+    return store(met.where(possible("n", "shape_a", "m", "shape_b")).select("a", "b", "rep_a", "rep_b"), "possible")
+
+
+def class_links(docs: DataFrame, members: DataFrame, size: int, percent: int) -> DataFrame:
     """key -> component of every class that links with another."""
-    classes = members.where(F.size("entries") > 0).groupBy("key").agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("entries").alias("entries")
+    indexed = members.where(F.size("entries") > 0).groupBy("key").agg(
+        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("entries").alias("entries"), F.first("shape").alias("shape")
     )
-    exploded = classes.select("key", "n", F.explode(F.array_distinct("entries")).alias("entry"))
+    indexed = store(indexed, "classes")
+    classes = indexed.select("key", "rep", "n", "shape")
+    exploded = indexed.select("key", "n", F.explode(F.array_distinct("entries")).alias("entry"))
     shared = exploded.withColumn("classes", F.count("*").over(Window.partitionBy("entry"))).where("classes > 1")
     postings = store(shared.select("entry", "key", "n"), "postings")
-    wanted = postings.select("key").distinct().join(members.groupBy("key").agg(F.min("doc_id").alias("rep")), "key")
-    sets = _token_sets(docs, store(wanted, "wanted"), size)
     fits = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
     ordered = (F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     links = labels = None
@@ -214,8 +251,11 @@ def class_links(docs: DataFrame, members: DataFrame, size: int, percent: int) ->
             left = store(own.join(open_, "entry", "left_semi"), "open")
             right = left.select("entry", F.col("key").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"))
             met = left.withColumnRenamed("key", "a").join(right, "entry").where("a < b")
-        pairs = store(met.where((F.col("component") != F.col("other")) & fits).select(*ordered).distinct(), "pairs")
-        found = _verified(pairs, sets, percent)
+        pairs = met.where((F.col("component") != F.col("other")) & fits).select(*ordered).distinct()
+        possible = _possible(pairs, classes, percent)
+        ends = possible.select(F.col("a").alias("key"), F.col("rep_a").alias("rep")).unionByName(possible.select(F.col("b").alias("key"), F.col("rep_b").alias("rep")))
+        sets = _token_sets(docs, store(ends.distinct(), "wanted"), size)
+        found = _verified(possible.select("a", "b"), sets, percent)
         links = found if links is None else links.unionByName(found)
         labels = components(links)
     return labels
@@ -229,7 +269,7 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     joined = reps.join(labels, "key", "left").withColumn("component", F.coalesce("component", "key"))
     lowest = joined.groupBy("component").agg(F.min("rep").alias("component_id"))
     of_class = joined.join(lowest, "component").select("key", "component_id", "component")
-    return members.drop("entries").join(of_class, "key", "left").select(
+    return members.drop("entries", "shape").join(of_class, "key", "left").select(
         "doc_id", "digest", F.col("n").alias("n_shingles"), "component",
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )

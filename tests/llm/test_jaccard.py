@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from conftest import SF_DIR
-from opsward.llm.jaccard_join import drop_near_duplicates, entries, jaccard_components, near_groups, shingles
+from opsward.llm.jaccard_join import drop_near_duplicates, entries, jaccard_components, may_link, near_groups, shape, shingles
 from opsward.llm.queries import QUERIES
 
 
@@ -78,6 +78,7 @@ def test_linked_sets_share_an_entry(percent, frequent):
         y = np.unique(np.concatenate([stay, rng.integers(0, 1 << 40, int(rng.integers(0, 1 + len(x) // 5))).astype(np.uint64)]))
         both = len(np.intersect1d(x, y))
         if len(y) and 100 * both >= percent * (len(x) + len(y) - both) and not np.array_equal(x, y):
+            assert may_link(len(x), shape(x), len(y), shape(y), percent)
             assert np.intersect1d(entries(x, percent, sketch, frequent), entries(y, percent, sketch, frequent)).size
 
 
@@ -96,3 +97,13 @@ def test_shingles_of_short_and_odd_texts():
     assert np.array_equal(shingles("A b", 3), shingles("a\tB", 3)) and len(shingles("a b", 3)) == 1
     assert not np.array_equal(shingles("É b", 3), shingles("é b", 3))
     assert len(shingles("a b a b a b", 3)) == 2
+
+
+def test_shapes_of_large_sets_bound_the_overlap():
+    rng = np.random.default_rng(9)
+    for n in (900, 1005, 70_000):
+        x = np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64))
+        y = np.concatenate([x[: int(n * 0.95)], np.unique(rng.integers(0, 1 << 62, n // 50).astype(np.uint64))])
+        assert may_link(len(x), shape(x), len(y), shape(y), 90)
+        other = np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64))
+        assert n > 50_000 or not may_link(len(x), shape(x), len(other), shape(other), 90)
