@@ -47,6 +47,8 @@ BROADCAST_ROWS = 400_000
 FREQUENT = 8
 BLOCK = 1 << 16
 FEW_BINS, MANY_BINS, LARGE_SET = 64, 256, 1000
+#: Entry lists up to this length travel with open postings, so that a pair meets once instead of at every common entry.
+SHORT_LIST = 64
 
 
 def shingles(text: str, size: int) -> np.ndarray:
@@ -146,14 +148,16 @@ def members_of(docs: DataFrame, size: int, percent: int) -> DataFrame:
     frequent = FREQUENT * max(1.0, float(sketch.mean()))
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
-    @F.pandas_udf("struct<key: binary, n: long, entries: array<long>, shape: binary>")
+    @F.pandas_udf("struct<key: binary, n: long, entries: array<long>, shape: binary, bins: array<int>>")
     def describe(text: pd.Series) -> pd.DataFrame:
         rows = []
         for one in text:
             tokens = shingles(one, size)
             index = entries(tokens, percent, shared.value, frequent)
-            rows.append((set_key(tokens), len(tokens), index, shape(tokens) if len(index) else b""))
-        return pd.DataFrame(rows, columns=["key", "n", "entries", "shape"])
+            form = shape(tokens) if len(index) else b""
+            bins = _bins(len(tokens), form).reshape(-1, FEW_BINS).sum(axis=0).astype(np.int32) if form else None
+            rows.append((set_key(tokens), len(tokens), index, form, bins))
+        return pd.DataFrame(rows, columns=["key", "n", "entries", "shape", "bins"])
 
     described = texts.select("doc_id", F.xxhash64("text").alias("digest"), describe("text").alias("set"))
     return store(described.select("doc_id", "digest", "set.*"), "members")
@@ -165,13 +169,14 @@ def _token_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     texts = docs.select("doc_id", whole_text().alias("text"))
     met = texts.join(F.broadcast(wanted) if few else wanted, texts["doc_id"].eqNullSafe(wanted["rep"]))
 
-    @F.pandas_udf("struct<own: binary, tokens: binary>")
-    def tokens(text: pd.Series) -> pd.DataFrame:
-        sets = [shingles(t, size) for t in text]
-        return pd.DataFrame({"own": [set_key(s) for s in sets], "tokens": [s.tobytes() for s in sets]})
+    def tokens(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            sets = [shingles(t, size) for t in frame["text"]]
+            rows = [(k, x.tobytes()) for k, x in zip(frame["key"], sets) if set_key(x) == bytes(k)]
+            yield pd.DataFrame(rows, columns=["key", "tokens"])
 
-    found = met.select("key", tokens("text").alias("set")).where("set.own = key")
-    return store(found.groupBy("key").agg(F.first("set.tokens").alias("tokens")), "token-sets")
+    found = met.select("key", "text").mapInPandas(tokens, "key binary, tokens binary")
+    return store(found.groupBy("key").agg(F.first("tokens").alias("tokens")), "token-sets")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -229,7 +234,7 @@ def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 def class_links(docs: DataFrame, members: DataFrame, size: int, percent: int) -> DataFrame:
     """key -> component of every class that links with another."""
     indexed = members.where(F.size("entries") > 0).groupBy("key").agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("entries").alias("entries"), F.first("shape").alias("shape")
+        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("entries").alias("entries"), F.first("shape").alias("shape"), F.first("bins").alias("bins")
     )
     indexed = store(indexed, "classes")
     classes = indexed.select("key", "rep", "n", "shape")
@@ -248,9 +253,21 @@ def class_links(docs: DataFrame, members: DataFrame, size: int, percent: int) ->
         else:
             # Only entries that still hold several components are compared in full.
             open_ = own.groupBy("entry").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("entry")
-            left = store(own.join(open_, "entry", "left_semi"), "open")
-            right = left.select("entry", F.col("key").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"))
-            met = left.withColumnRenamed("key", "a").join(right, "entry").where("a < b")
+            # A pair meets at its first common entry where the lists are short, and only if the bins leave it possible.
+            listed = F.when(F.size("entries") <= SHORT_LIST, F.array_distinct("entries")).alias("listed")
+            left = store(own.join(open_, "entry", "left_semi").join(indexed.select("key", "bins", listed), "key"), "open")
+            right = left.select(
+                "entry", F.col("key").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"),
+                F.col("bins").alias("other_bins"), F.col("listed").alias("other_listed"),
+            )
+            left = left.withColumnRenamed("key", "a")
+            most = F.aggregate(F.zip_with("bins", "other_bins", lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda x, y: x + y)
+            first = F.array_min(F.array_intersect("listed", "other_listed"))
+            met = left.join(
+                right,
+                (left["entry"] == right["entry"]) & (F.col("a") < F.col("b")) & (F.col("component") != F.col("other")) & fits
+                & (most * (100 + percent) >= (F.col("n") + F.col("m")) * percent) & F.coalesce(first == left["entry"], F.lit(True)),
+            )
         pairs = met.where((F.col("component") != F.col("other")) & fits).select(*ordered).distinct()
         possible = _possible(pairs, classes, percent)
         ends = possible.select(F.col("a").alias("key"), F.col("rep_a").alias("rep")).unionByName(possible.select(F.col("b").alias("key"), F.col("rep_b").alias("rep")))
@@ -269,7 +286,7 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     joined = reps.join(labels, "key", "left").withColumn("component", F.coalesce("component", "key"))
     lowest = joined.groupBy("component").agg(F.min("rep").alias("component_id"))
     of_class = joined.join(lowest, "component").select("key", "component_id", "component")
-    return members.drop("entries", "shape").join(of_class, "key", "left").select(
+    return members.drop("entries", "shape", "bins").join(of_class, "key", "left").select(
         "doc_id", "digest", F.col("n").alias("n_shingles"), "component",
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
