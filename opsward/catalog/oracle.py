@@ -153,7 +153,7 @@ FROM (SELECT o_orderkey AS o, o_custkey, o_orderstatus, o_orderpriority, o_order
 
 _TS = "'%Y-%m-%d %H:%M:%S'"
 _BLOCKS["raw_appointments"] = f"""
-SELECT 'A' || {_pad('l_orderkey * 10 + l_linenumber', 8)} AS appointment_id, 'P' || {_pad('o_custkey', 7)} AS patient_id,
+SELECT 'A' || {_pad('l_orderkey * 10 + l_linenumber', 8)} || {_pad('repeat', 3)} AS appointment_id, 'P' || {_pad('o_custkey', 7)} AS patient_id,
   CASE WHEN l_orderkey % 101 = 0 THEN 'D999999' ELSE 'D' || {_pad('l_suppkey', 6)} END AS department_id,
   CASE WHEN l_linenumber = 1 THEN '' WHEN l_orderkey % 103 = 0 THEN 'R9999999' ELSE 'R' || {_pad('l_orderkey', 7)} END AS referral_id,
   strftime(scheduled, {_TS}) AS scheduled_datetime, strftime(arrived, {_TS}) AS check_in_time,
@@ -164,8 +164,9 @@ SELECT 'A' || {_pad('l_orderkey * 10 + l_linenumber', 8)} AS appointment_id, 'P'
   ['referral team', 'Phone', 'PATIENT PORTAL', ' clinic'][l_partkey % 4 + 1] AS booking_channel
 FROM (SELECT *, CASE WHEN l_returnflag = 'A' AND l_partkey % 50 <> 0 THEN scheduled - to_minutes(5) END AS arrived,
     unnest(CASE WHEN l_orderkey % 50 = 9 THEN [1, 2] ELSE [1] END) AS copy
-  FROM (SELECT *, l_shipdate + to_hours(l_linenumber + 8) AS scheduled FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-    QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {', '.join(LINE_ORDER)}) = 1))"""
+  FROM (SELECT *, l_shipdate + to_hours(l_linenumber + 8) AS scheduled,
+      row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {', '.join(LINE_ORDER)}) AS repeat
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey))"""
 
 _BLOCKS["raw_ed_visits"] = f"""
 SELECT 'V' || {_pad('e', 7)} AS visit_id, CASE WHEN e % 61 = 0 THEN 'P9999999' ELSE 'P' || {_pad('user_id', 7)} END AS patient_id,

@@ -45,7 +45,7 @@ def resolve_fk(
 ) -> DataFrame:
     """Replace ``lookup`` by ``key``, which is NULL when the parent does not exist, plus an issue flag.
 
-    A blank key counts as an issue unless the relationship is optional.
+    A blank key counts as an issue unless the relationship is optional. A repeated parent key never repeats a child.
 
     A parent small enough to broadcast is joined directly. Joining a larger one would shuffle the
     whole child, so with a ``store`` the child's distinct keys are compared with the parent
@@ -54,8 +54,8 @@ def resolve_fk(
     joined with them: by broadcast as long as they are few, by shuffle otherwise.
     """
     others = [c for c in child.columns if c not in (lookup, key)]
-    known = parent.select(F.col(key).alias("__parent"))
-    if store is None or broadcastable(known):
+    known = parent.select(F.col(key).alias("__parent")).where(F.col("__parent").isNotNull()).distinct()
+    if store is None or broadcastable(parent.select(key)):
         found = child.join(known, F.col(lookup) == F.col("__parent"), "left")
         resolved, unknown = F.col("__parent"), F.col("__parent").isNull()
     else:
@@ -97,13 +97,17 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
 
 
 def join_inflation(fact: DataFrame, dims: Sequence[tuple[DataFrame, str]], rule: str) -> DataFrame:
-    """Row count of a fact before and after its dimension joins; only key columns are read."""
+    """Row count of a fact before and after its dimension joins; only key columns are read.
+
+    Each dimension is counted per key first, so the joined rows are added up and never made.
+    """
     keys = list(dict.fromkeys(k for _, k in dims))
-    base = fact.select(*keys)
-    joined = enrich(base, [(dim.select(key), key) for dim, key in dims])
-    counted = base.agg(F.count("*").alias("base_row_count")).select(
-        "base_row_count", joined.agg(F.count("*")).scalar().alias("joined_row_count")
-    )
+    joined, rows = fact.select(*keys), F.lit(1).cast("long")
+    for i, (dim, key) in enumerate(dims):
+        counts = dim.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias(f"__rows_{i}"))
+        joined = joined.join(counts, key, "left")
+        rows = rows * F.coalesce(f"__rows_{i}", F.lit(1))
+    counted = joined.agg(F.count("*").alias("base_row_count"), F.coalesce(F.sum(rows), F.lit(0)).alias("joined_row_count"))
     extra = F.col("joined_row_count") - F.col("base_row_count")
     return counted.select(
         F.lit(rule).alias("validation_rule"), "base_row_count", "joined_row_count",

@@ -47,7 +47,7 @@ def previous_value(
             F.coalesce(F.date_trunc(slice_unit, F.col(time)).cast("timestamp_ntz"), far),
         ),
     )
-    position = F.struct(F.col(time).isNull(), F.col(time), F.col(tie_breaker))
+    position = F.struct(F.col(time).isNull(), F.col(time), F.col(tie_breaker).isNull(), F.col(tie_breaker))
 
     # One row per hot key and slice: its last value, handed on to the key's next slice.
     hot_rows = sliced.where(F.col("__slice").isNotNull())

@@ -15,7 +15,6 @@ import sys
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from . import schemas
 from .plans import constraints, validation, views
@@ -102,8 +101,8 @@ def main(arguments: list[str]) -> None:
     clean = build_clean(layers, domain, *mode)
     views.register_views(clean, domain)
     for name, result in report(raw, clean, domain).items():
-        print(name)
-        result.orderBy(*[F.col(c) for c in result.columns[:2]]).show(100, truncate=False)
+        stored = layers.write("analytics", f"report_{name}", result)
+        print(f"{name}: {stored.count()} rows in {layers.path('analytics', f'report_{name}')}")
 
 
 if __name__ == "__main__":

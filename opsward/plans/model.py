@@ -156,11 +156,13 @@ def all_kpis(clean: Clean, domain: Domain) -> DataFrame:
     return evaluate_kpis({**facts, "returns": returns}, [*kpi_catalogue(), again])
 
 
-def _apply(df: DataFrame, filters: Mapping[str, object]) -> DataFrame:
-    """Equality or (from, to) range filters, applied before any aggregation."""
+def _apply(df: DataFrame, filters: Mapping[str, object], without: frozenset[str] = frozenset()) -> DataFrame:
+    """Equality or (from, to) range filters, applied before any aggregation; an unknown column is an error."""
     for column, wanted in filters.items():
-        if column not in df.columns:
+        if column in without:
             continue
+        if column not in df.columns:
+            raise ValueError(f"no column {column!r} to filter by")
         condition = F.col(column).between(*[F.lit(v) for v in wanted]) if isinstance(wanted, tuple) else F.col(column) == wanted
         df = df.where(condition)
     return df
@@ -174,7 +176,8 @@ def sliced_kpis(clean: Clean, domain: Domain, filters: Mapping[str, object]) ->
         "appointments": appointment_view(clean, domain, place).withColumn("date", F.col("scheduled_date")),
         "ed_visits": ed_visit_view(clean, domain, {"facilities"}).withColumn("date", F.col("arrival_date")),
     }
-    return evaluate_kpis({name: _apply(df, filters) for name, df in facts.items()}, kpi_catalogue())
+    of_department = {"ed_visits": frozenset({"department_id", "department_name", "specialty_group"})}
+    return evaluate_kpis({name: _apply(df, filters, of_department.get(name, frozenset())) for name, df in facts.items()}, kpi_catalogue())
 
 
 MATRIX_SUMS = (

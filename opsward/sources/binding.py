@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -21,7 +21,7 @@ BOUND_DOMAIN = Domain(
     return_window_hours=8,
     id_patterns={
         "facilities": "F[0-9]{3}", "departments": "D[0-9]{6}", "patients": "P[0-9]{7}",
-        "referrals": "R[0-9]{7}", "appointments": "A[0-9]{8}", "ed_visits": "V[0-9]{7}",
+        "referrals": "R[0-9]{7}", "appointments": "A[0-9]{11}", "ed_visits": "V[0-9]{7}",
     },
 )
 
@@ -128,7 +128,7 @@ def referrals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Order in which the first line of an (order, line number) pair is chosen.
+# Order in which the lines of an (order, line number) pair are numbered; lines equal in all of it are interchangeable.
 LINE_ORDER = (
     "l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
     "l_returnflag", "l_linestatus",
@@ -136,21 +136,19 @@ LINE_ORDER = (
 
 
 def appointments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = (
-        table(spark, sf_dir, "lineitem")
-        .groupBy("l_orderkey", "l_linenumber")
-        .agg(F.min(F.struct(*LINE_ORDER)).alias("line"))
-        .select("l_orderkey", "l_linenumber", "line.*")
+    pair = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*LINE_ORDER)
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", *LINE_ORDER, F.row_number().over(pair).alias("repeat")
     )
     orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey as l_orderkey", "o_custkey")
-    rows = _with_copies(first.join(orders, "l_orderkey"), "l_orderkey % 50 = 9").selectExpr(
+    rows = _with_copies(lines.join(orders, "l_orderkey"), "l_orderkey % 50 = 9").selectExpr(
         "*", "timestampadd(HOUR, l_linenumber + 8, l_shipdate) as scheduled"
     )
     arrived = rows.selectExpr(
         "*", "if(l_returnflag = 'A' and l_partkey % 50 <> 0, timestampadd(MINUTE, -5, scheduled), null) as arrived"
     )
     return arrived.selectExpr(
-        f"concat('A', {_pad('l_orderkey * 10 + l_linenumber', 8)}) as appointment_id",
+        f"concat('A', {_pad('l_orderkey * 10 + l_linenumber', 8)}, {_pad('repeat', 3)}) as appointment_id",
         f"concat('P', {_pad('o_custkey', 7)}) as patient_id",
         f"if(l_orderkey % 101 = 0, 'D999999', concat('D', {_pad('l_suppkey', 6)})) as department_id",
         "case when l_linenumber = 1 then '' when l_orderkey % 103 = 0 then 'R9999999' "

@@ -111,3 +111,18 @@ def test_percentiles_match_numpy(spark):
         assert r.n == len(groups[r.g])
         assert r.p50 == pytest.approx(np.percentile(groups[r.g], 50), abs=0.00501)
         assert r.p90 == pytest.approx(np.percentile(groups[r.g], 90), abs=0.00501)
+
+
+def test_repeated_parent_keys_never_repeat_a_child(spark):
+    child = spark.createDataFrame([(1, "A"), (2, "B"), (3, "Z"), (4, None)], "id int, ref string")
+    parent = spark.createDataFrame([("A",), ("A",), ("B",), (None,)], "k string")
+    direct = rows(joins.resolve_fk(child, parent, "ref", "k", "bad"))
+    stored = rows(joins.resolve_fk(child, parent, "ref", "k", "bad", store=lambda _, df: df))
+    assert direct == stored == [(1, "A", False), (2, "B", False), (3, None, True), (4, None, True)]
+
+
+def test_inflation_counts_rows_of_repeated_keys(spark):
+    fact = spark.createDataFrame([("A",), ("A",), ("B",), (None,)], "k string")
+    dim = spark.createDataFrame([("A",), ("A",), ("A",), (None,)], "k string")
+    (got,) = joins.join_inflation(fact, [(dim, "k")], "r").collect()
+    assert (got.base_row_count, got.joined_row_count, got.validation_status) == (4, 8, "REVIEW")

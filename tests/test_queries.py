@@ -17,7 +17,7 @@ def duck():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", QUERIES)
+@pytest.mark.parametrize("name", REGISTRY)
 def test_matches_sql(spark, duck, name):
     df = QUERIES[name](spark, SF_DIR)
     plan = df._jdf.queryExecution().executedPlan().toString()
@@ -103,3 +103,15 @@ def test_breakdowns_add_up(w):
         (questions.admission_and_left(w.clean, w.domain), "total_ed_visits"),
     ):
         assert sum(r[column] for r in df.collect()) == total
+
+
+def test_every_line_becomes_an_appointment(spark, w):
+    lines = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
+    copies = lines.where("l_orderkey % 50 = 9").count()
+    assert w.raw["appointments"].count() == lines.count() + copies
+    assert w.raw["appointments"].select("appointment_id").distinct().count() == lines.count()
+
+
+def test_unknown_slicers_are_refused(w):
+    with pytest.raises(ValueError):
+        model.sliced_kpis(w.clean, w.domain, {"region": "Asia"})

@@ -74,3 +74,13 @@ def test_hot_key_is_spread_over_many_windows(spark):
 def test_empty_input(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert previous_value(df, "patient", "arrival", "visit", "discharge", "before").count() == 0
+
+
+def test_null_ties_order_alike_on_both_paths(spark):
+    df = spark.createDataFrame(
+        [("k", "2024-01-01 10:00:00", None, 1), ("k", "2024-01-01 10:00:00", "b", 2), ("k", "2024-01-01 12:00:00", "c", 3)],
+        "k string, t string, id string, v int",
+    ).selectExpr("k", "cast(t as timestamp_ntz) t", "id", "v")
+    plain = previous_value(df, "k", "t", "id", "v", "before")
+    hot = previous_value(df, "k", "t", "id", "v", "before", share=10, min_rows=0)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, hot.collect()))
