@@ -38,14 +38,17 @@ from pyspark.sql.window import Window
 
 from ..session import scan_bytes
 from .common import UNKNOWN_BYTES, store, whole_text
-from .words import SPREAD, mix, word_hashes, words_of
+from .words import SPREAD, hashed_words, mix
 
-HUB_ROUNDS = 3
+HUB_ROUNDS = 2
 #: Size bound of a broadcast list of classes; longer lists are joined by a shuffle.
 BROADCAST_ROWS = 400_000
 #: A token counts as frequent when its sketch cell holds more than this many times the mean cell.
 FREQUENT = 8
 BLOCK = 1 << 16
+#: Leading bits of a rare token's place in the global order that hold its count; higher counts tie and the token decides.
+COUNT_BITS = 24
+COUNT_CAP = (1 << COUNT_BITS) - 1
 FEW_BINS, MANY_BINS, LARGE_SET = 64, 256, 1000
 #: Entry lists up to this length travel with open postings, so that a pair meets once instead of at every common entry.
 SHORT_LIST = 64
@@ -53,15 +56,16 @@ SHORT_LIST = 64
 
 def shingles(text: str, size: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's word shingles (ASCII letters lower-cased, words between white space)."""
-    words = words_of(text)
-    if not words:
-        return np.empty(0, np.uint64)
-    h = word_hashes(words)
+    h = hashed_words(text)
+    if not len(h):
+        return h
     size = min(size, len(h))
-    total = np.full(len(h) - size + 1, size, np.uint64)
+    total, weight = np.full(len(h) - size + 1, size, np.uint64), 1
     for k in range(size):
-        total = mix(total * SPREAD + h[k : len(h) - size + 1 + k])
-    return np.unique(total)
+        weight = weight * int(SPREAD) % (1 << 64)
+        total += h[k : len(h) - size + 1 + k] * np.uint64(weight)
+    total = np.sort(mix(total))
+    return total[np.append(True, total[1:] != total[:-1])]
 
 
 def set_key(tokens: np.ndarray) -> bytes:
@@ -79,15 +83,18 @@ def entries(tokens: np.ndarray, percent: int, sketch: np.ndarray, frequent: floa
     if not has_partners(n, percent):
         return np.empty(0, np.int64)
     count = sketch[(tokens & np.uint64(len(sketch) - 1)).astype(np.int64)]
-    order = np.lexsort((tokens, count))
-    rare = int((count <= frequent).sum())
+    is_rare = count <= frequent
+    rare = int(is_rare.sum())
     need = n - (percent * n + 99) // 100 + 1
     if rare >= need:
-        return mix(tokens[order[:need]]).view(np.int64)
+        # The order's leading bits are enough: tokens that tie with the last one are indexed too.
+        place = (np.minimum(count, COUNT_CAP).astype(np.uint64) << np.uint64(64 - COUNT_BITS)) | (tokens >> np.uint64(COUNT_BITS))
+        return mix(tokens[place <= np.partition(place, need - 1)[need - 1]]).view(np.int64)
     extent = max(2, 2 * (100 - percent) * n // 100 - 2 * rare + 2)
-    common = tokens[order[rare : rare + extent]]
+    common = tokens[~is_rare]
+    common = common[np.argsort(count[~is_rare], kind="stable")[:extent]]
     pairs = mix(common[:-1] * SPREAD + common[1:])
-    return np.concatenate([mix(tokens[order[:rare]]), pairs]).view(np.int64)
+    return np.concatenate([mix(tokens[is_rare]), pairs]).view(np.int64)
 
 
 def shape(tokens: np.ndarray) -> bytes:

@@ -36,3 +36,44 @@ def mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * _MIX[0]
     x = (x ^ (x >> np.uint64(27))) * _MIX[1]
     return x ^ (x >> np.uint64(31))
+
+
+#: Bytes that are hashed at a time; a piece ends between words and is longer only if one word is.
+PIECE = 1 << 16
+_FACTOR = 0x9E3779B97F4A7C15
+_VALUE = mix(np.arange(1, 257, dtype=np.uint64) * SPREAD)
+_VALUE[ord("A") : ord("Z") + 1] = _VALUE[ord("a") : ord("z") + 1]
+_IS_WHITE = np.zeros(256, bool)
+_IS_WHITE[[0x20, *range(0x09, 0x0E)]] = True
+
+
+def _powers(factor: int, n: int) -> np.ndarray:
+    out = np.full(n, factor, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+_up, _down = _powers(_FACTOR, 2 * PIECE), _powers(pow(_FACTOR, -1, 1 << 64), 2 * PIECE)
+
+
+def _hash_piece(raw: np.ndarray) -> np.ndarray:
+    """A word is the polynomial of its byte values; differences of prefix sums give it for all words at once."""
+    n = len(raw)
+    up, down = (_up, _down) if n <= len(_up) else (_powers(_FACTOR, n), _powers(pow(_FACTOR, -1, 1 << 64), n))
+    outside = np.ones(n + 2, bool)
+    outside[1:-1] = _IS_WHITE[raw]
+    edges = np.flatnonzero(outside[1:] != outside[:-1])
+    first, stop = edges[::2], edges[1::2]
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(_VALUE[raw] * up[:n], out=sums[1:])
+    return mix((sums[stop] - sums[first]) * down[first] + (stop - first).astype(np.uint64))
+
+
+def hashed_words(text: str) -> np.ndarray:
+    """64-bit hashes of a text's words, A to Z lower-cased, in order."""
+    raw = np.frombuffer(text.encode(), np.uint8)
+    if len(raw) <= 2 * PIECE:
+        return _hash_piece(raw)
+    gaps = np.flatnonzero(_IS_WHITE[raw])
+    cuts = np.unique(gaps[np.searchsorted(gaps, np.arange(PIECE, len(raw), PIECE)).clip(max=len(gaps) - 1)]) if len(gaps) else gaps
+    return np.concatenate([_hash_piece(piece) for piece in np.split(raw, cuts)])
