@@ -34,6 +34,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, ShortType
 from pyspark.sql.window import Window
 
 from ..session import scan_bytes
@@ -50,8 +51,8 @@ BLOCK = 1 << 16
 COUNT_BITS = 24
 COUNT_CAP = (1 << COUNT_BITS) - 1
 FEW_BINS, MANY_BINS, LARGE_SET = 64, 256, 1000
-#: Entry lists up to this length travel with open postings, so that a pair meets once instead of at every common entry.
-SHORT_LIST = 64
+#: A class's smallest entries travel with its open postings, so that a pair meets once instead of at every common entry.
+SHORT_LIST = 16
 
 
 def shingles(text: str, size: int) -> np.ndarray:
@@ -155,16 +156,15 @@ def members_of(docs: DataFrame, size: int, percent: int) -> DataFrame:
     frequent = FREQUENT * max(1.0, float(sketch.mean()))
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
-    @F.pandas_udf("struct<key: binary, n: long, entries: array<long>, shape: binary, bins: array<int>>")
+    @F.pandas_udf("struct<key: binary, n: long, entries: array<long>, shape: binary>")
     def describe(text: pd.Series) -> pd.DataFrame:
         rows = []
         for one in text:
             tokens = shingles(one, size)
             index = entries(tokens, percent, shared.value, frequent)
             form = shape(tokens) if len(index) else b""
-            bins = _bins(len(tokens), form).reshape(-1, FEW_BINS).sum(axis=0).astype(np.int32) if form else None
-            rows.append((set_key(tokens), len(tokens), index, form, bins))
-        return pd.DataFrame(rows, columns=["key", "n", "entries", "shape", "bins"])
+            rows.append((set_key(tokens), len(tokens), np.unique(index), form))
+        return pd.DataFrame(rows, columns=["key", "n", "entries", "shape"])
 
     described = texts.select("doc_id", F.xxhash64("text").alias("digest"), describe("text").alias("set"))
     return store(described.select("doc_id", "digest", "set.*"), "members")
@@ -238,14 +238,21 @@ def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return store(met.where(possible("n", "shape_a", "m", "shape_b")).select("a", "b", "rep_a", "rep_b"), "possible")
 
 
+@F.pandas_udf(ArrayType(ShortType()))
+def _few_bins(n: pd.Series, packed: pd.Series) -> pd.Series:
+    """Token counts of FEW_BINS hash bins; null where one is too large for the type."""
+    bins = (_bins(*x).reshape(-1, FEW_BINS).sum(axis=0) for x in zip(n, packed))
+    return pd.Series([x.astype(np.int16) if x.max() < 1 << 15 else None for x in bins], dtype=object)
+
+
 def class_links(docs: DataFrame, members: DataFrame, size: int, percent: int) -> DataFrame:
     """key -> component of every class that links with another."""
     indexed = members.where(F.size("entries") > 0).groupBy("key").agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("entries").alias("entries"), F.first("shape").alias("shape"), F.first("bins").alias("bins")
+        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("entries").alias("entries"), F.first("shape").alias("shape")
     )
     indexed = store(indexed, "classes")
     classes = indexed.select("key", "rep", "n", "shape")
-    exploded = indexed.select("key", "n", F.explode(F.array_distinct("entries")).alias("entry"))
+    exploded = indexed.select("key", "n", F.explode("entries").alias("entry"))
     shared = exploded.withColumn("classes", F.count("*").over(Window.partitionBy("entry"))).where("classes > 1")
     postings = store(shared.select("entry", "key", "n"), "postings")
     fits = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
@@ -260,20 +267,21 @@ def class_links(docs: DataFrame, members: DataFrame, size: int, percent: int) ->
         else:
             # Only entries that still hold several components are compared in full.
             open_ = own.groupBy("entry").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("entry")
-            # A pair meets at its first common entry where the lists are short, and only if the bins leave it possible.
-            listed = F.when(F.size("entries") <= SHORT_LIST, F.array_distinct("entries")).alias("listed")
-            left = store(own.join(open_, "entry", "left_semi").join(indexed.select("key", "bins", listed), "key"), "open")
+            # A pair meets at its first common entry, and only if the bins leave it possible. Entries are sorted: if the
+            # smallest ones have a common one, that is the first; pairs without one there meet at every common entry.
+            listed = F.slice("entries", 1, SHORT_LIST).alias("listed")
+            left = store(own.join(open_, "entry", "left_semi").join(indexed.select("key", _few_bins("n", "shape").alias("bins"), listed), "key"), "open")
             right = left.select(
                 "entry", F.col("key").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"),
                 F.col("bins").alias("other_bins"), F.col("listed").alias("other_listed"),
             )
             left = left.withColumnRenamed("key", "a")
-            most = F.aggregate(F.zip_with("bins", "other_bins", lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda x, y: x + y)
+            most = F.aggregate(F.zip_with("bins", "other_bins", lambda x, y: F.least(x, y).cast("long")), F.lit(0).cast("long"), lambda x, y: x + y)
             first = F.array_min(F.array_intersect("listed", "other_listed"))
             met = left.join(
                 right,
                 (left["entry"] == right["entry"]) & (F.col("a") < F.col("b")) & (F.col("component") != F.col("other")) & fits
-                & (most * (100 + percent) >= (F.col("n") + F.col("m")) * percent) & F.coalesce(first == left["entry"], F.lit(True)),
+                & F.coalesce(most * (100 + percent) >= (F.col("n") + F.col("m")) * percent, F.lit(True)) & F.coalesce(first == left["entry"], F.lit(True)),
             )
         pairs = met.where((F.col("component") != F.col("other")) & fits).select(*ordered).distinct()
         possible = _possible(pairs, classes, percent)
@@ -293,7 +301,7 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     joined = reps.join(labels, "key", "left").withColumn("component", F.coalesce("component", "key"))
     lowest = joined.groupBy("component").agg(F.min("rep").alias("component_id"))
     of_class = joined.join(lowest, "component").select("key", "component_id", "component")
-    return members.drop("entries", "shape", "bins").join(of_class, "key", "left").select(
+    return members.drop("entries", "shape").join(of_class, "key", "left").select(
         "doc_id", "digest", F.col("n").alias("n_shingles"), "component",
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )

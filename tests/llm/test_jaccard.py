@@ -107,3 +107,15 @@ def test_shapes_of_large_sets_bound_the_overlap():
         assert may_link(len(x), shape(x), len(y), shape(y), 90)
         other = np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64))
         assert n > 50_000 or not may_link(len(x), shape(x), len(other), shape(other), 90)
+
+
+def test_hashed_words_are_the_words_between_white_space():
+    from opsward.llm.words import PIECE, hashed_words, words_of
+
+    texts = ["", " \t\n", "a", "A b\x0bB", "É ß z a", "x" * (3 * PIECE) + " end", "one two " * PIECE, " " * (3 * PIECE) + "q"]
+    seen: dict[bytes, int] = {}
+    for text in texts:
+        words, hashes = words_of(text), hashed_words(text).tolist()
+        assert len(words) == len(hashes)
+        assert all(seen.setdefault(w, h) == h for w, h in zip(words, hashes))
+    assert len(set(seen.values())) == len(seen)
