@@ -75,7 +75,7 @@ class Workspace:
             return self.raw[name]
         path = f"{self.layers.base_path}/landing/{name}"
         self.raw[name].write.mode("overwrite").options(
-            header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+            header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
         ).csv(path)
         return read_raw(self.spark, path, name)
 

@@ -18,6 +18,7 @@ def read_raw(spark: SparkSession, path: str, table: str) -> DataFrame:
 
     Blanks inside values are kept; an empty unquoted field is NULL and a quoted one stays empty text.
     The NUL character stands for "no value" because Spark would otherwise read both as NULL.
+    A quote inside a quoted value is doubled; a backslash is a character like any other.
     """
     return (
         spark.read.schema(schemas.raw_schema(table))
@@ -25,6 +26,7 @@ def read_raw(spark: SparkSession, path: str, table: str) -> DataFrame:
         .option("encoding", "UTF-8")
         .option("enforceSchema", True)
         .option("nullValue", "\u0000")
+        .option("escape", '"')
         .option("mode", "FAILFAST")
         .csv(path)
     )

@@ -25,6 +25,14 @@ def test_read_raw_keeps_text_as_received(spark, csv_file):
     assert second.facility_name == "" and second.hospital_region is None and second.bed_capacity == "n/a"
 
 
+def test_read_raw_takes_doubled_quotes_and_backslashes(spark, tmp_path):
+    columns = schemas.raw_schema("facilities").names
+    values = ['F1', 'St "Mary" Hospital, North', "Ward A\\"] + ["x"] * (len(columns) - 3)
+    path = tmp_path / "facilities_raw.csv"
+    path.write_text(",".join(columns) + "\n" + ",".join('"' + v.replace('"', '""') + '"' for v in values) + "\n")
+    assert list(read_raw(spark, str(path), "facilities").first()) == values
+
+
 def test_load_raw_twice_does_not_duplicate(spark, csv_file, tmp_path):
     layers = Layers(spark, str(tmp_path / "layers"))
     for _ in range(2):
