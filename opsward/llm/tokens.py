@@ -4,7 +4,7 @@ Both public vocabularies cut a text at white space before anything else: what st
 with the first of them, gives the same ids alone as inside its text. They also cut between a Latin letter
 and the punctuation after it. A worker therefore asks the library once for each distinct piece. Texts in
 which other white space meets a blank, or that hold unusual white space, long line breaks or the string
-of a special token, are encoded whole by the library. Ids equal the library's for every text.
+of a special token, or that end in two line breaks, are encoded whole by the library. Ids equal the library's for every text.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ LONGEST_PIECE = 64
 _END = array("I", [END_ID]).tobytes()
 
 _WORD = re.compile(r"( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:|)*&$#%\-]*)")
-_ODD = r"  | [\t\n\r\x0b\x0c]|[\t\n\r\x0b\x0c] |[\t\r\x0b\x0c]|\n\n\n|^ | $|[\x1c-\x1f\x85\xa0\u1680\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]"
+_ODD = r"  | [\t\n\r\x0b\x0c]|[\t\n\r\x0b\x0c] |[\t\r\x0b\x0c]|\n\n\n|\n\n\Z|^ | $|[\x1c-\x1f\x85\xa0\u1680\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]"
 
 
 class Encoder:

@@ -32,6 +32,19 @@ def test_ids_equal_the_library(name):
         assert own.ids(text).tolist() == [*whole.encode(text, add_special_tokens=False).ids, 2], repr(text)
 
 
+CLOSING = ["a\n\n", "\n\n", "a\n", "\n", "a\n\nb", "a\n\nb\n\n", "a.\n\n", "a b\n\n", "\n\na"]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_ids_of_line_breaks_and_random_texts_equal_the_library(name):
+    path = public_tokenizers.path(name)
+    whole, own, rng = Tokenizer.from_file(path), Encoder(path), np.random.default_rng(3)
+    parts = [" ", " ", "\n", "\n", "\n\n", "a", "foo", "Bar", "é", ".", ",", "'s", "-", "7"]
+    texts = ["".join(rng.choice(parts, n)) for n in rng.integers(1, 14, 6000)]
+    for text in CLOSING + texts:
+        assert own.ids(text).tolist() == [*whole.encode(text, add_special_tokens=False).ids, 2], repr(text)
+
+
 def fixture(spark):
     rows = [(i * 7 % 5, t, "x", "y") for i, t in enumerate([*ODD, *ODD[:4]])] + [(None, None, None, None), (99, None, None, None)]
     return spark.createDataFrame(rows, "doc_id long, text string, start string, key string").repartition(3)
