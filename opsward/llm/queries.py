@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, exact_dedup, jaccard_join, kneser_ney, language_id, line_chunks, packing, quality, token_files, toxicity
+from . import decontamination, exact_dedup, jaccard_join, kneser_ney, language_id, line_chunks, line_runs, packing, quality, token_files, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_chunks.dedupe_lines(table(spark, sf_dir, "documents"))
 
 
+@query("op10_line_runs", line_runs.ORACLE)
+def op10_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_runs.dedupe_line_runs(table(spark, sf_dir, "documents"))
+
+
 @query("op1_token_files")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_files.write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
