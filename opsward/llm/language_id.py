@@ -1,17 +1,20 @@
 """Language identification with hyperdimensional profiles.
 
-Every letter has a fixed random vector of +1 and -1 in WIDTH dimensions. The trigram abc is the product of
+Every letter has a fixed random vector of +1 and -1 in WIDTH dimensions, drawn from a seeded hash of its code
+point; combining marks after a letter count as letters. The trigram abc is the product of
 a's vector permuted twice, b's permuted once and c's: binding keeps order. A text's vector is the sum
 (bundle) of its trigrams' vectors, a language's prototype that of all its training texts, and a text gets
 the language whose prototype has the largest cosine with it.
 
-Trigrams of the training fold are counted per language over the whole table, pre-aggregated in each
-batch. Defined cases: text that is null or without a letter is ``und`` with score 0; rows with null lang
+Trigrams of the training fold are counted per language in each batch, bundled there, and the vectors are
+added over the whole table. Defined cases: text that is null or without a letter is ``und`` with score 0; rows with null lang
 are predicted but not learned from; ties go to the smaller name; without any learned language all are ``und``.
 """
 
 from __future__ import annotations
 
+import hashlib
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,32 +27,31 @@ from .common import in_fold, store
 WIDTH, SEED = 1024, 11
 FOLDS, HELD_OUT = 4, 2
 UNKNOWN = "und"
-BITS = 6
-#: Code points below this have letters of their own: a to z, then the other Latin letters; above it, letters share a few codes.
-PLAIN = 0x180
+#: A trigram is a number of three code points; 0 stands for what is no letter.
+BITS, POINTS = 21, 0x110000
+#: Letters whose vectors a worker remembers before it forgets all of them; above the number in CHUNK trigrams.
+MOST_LETTERS, CHUNK = 16_384, 4096
 
+_kinds: list[np.ndarray] = []
 
-def _codes() -> np.ndarray:
-    table, following = np.zeros(PLAIN, np.int64), 1
-    for point in range(PLAIN):
-        letter = chr(point)
-        if letter.isalpha() and letter == letter.lower():
-            table[point] = following if following < 56 else 56
-            following += 1
-    return table
 
-
-_CODES = _codes()
+def kinds() -> np.ndarray:
+    """For each code point: 1 for letters, 2 for combining marks, 0 for others."""
+    if not _kinds:
+        kind = {"L": 1, "M": 2}
+        _kinds.append(np.fromiter((kind.get(unicodedata.category(chr(p))[0], 0) for p in range(POINTS)), np.uint8, POINTS))
+    return _kinds[0]
 
 
 def trigrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct letter trigrams of a text (a blank stands for what is no letter) and their counts."""
     points = np.frombuffer(f" {text or ''} ".lower().encode("utf-32-le"), np.uint32).astype(np.int64)
-    plain = points < PLAIN
-    codes = _CODES[np.where(plain, points, 0)]
-    if not plain.all():
-        far = np.flatnonzero(~plain)
-        codes[far] = [57 + (p >> 7) % 7 if chr(p).isalpha() else 0 for p in points[far].tolist()]
+    kind = kinds()[points]
+    marks = kind == 2
+    if marks.any():
+        # A mark is what the last character before it that is no mark is: part of a letter, or of something else.
+        kind = kind[np.maximum.accumulate(np.where(marks, 0, np.arange(len(kind))))]
+    codes = np.where(kind == 1, points, 0)
     stay = np.ones(len(codes), bool)
     stay[1:] = (codes[1:] != 0) | (codes[:-1] != 0)
     codes = codes[stay]
@@ -57,20 +59,43 @@ def trigrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(grams[(codes[1:-1] != 0)], return_counts=True)
 
 
+def letter_bits(point: int) -> np.ndarray:
+    """The vector of a code point, 1 for -1 and 0 for +1."""
+    drawn = hashlib.shake_128(f"{SEED}:{point}".encode()).digest(WIDTH // 8)
+    return np.unpackbits(np.frombuffer(drawn, np.uint8))
+
+
 class Space:
-    """The vectors of letters and the binding of letter pairs."""
+    """The vectors of letters, each permuted twice, once and not, in bits; binding is their exclusive or."""
 
     def __init__(self):
-        letters = np.random.default_rng(SEED).choice(np.array([-1, 1], np.int8), (1 << BITS, WIDTH))
-        self.last = letters
-        self.pairs = (np.roll(letters, 2, axis=1)[:, None, :] * np.roll(letters, 1, axis=1)[None, :, :]).reshape(-1, WIDTH)
+        self._slots = np.full(POINTS, -1, np.int32)
+        self._bits = np.zeros((3, MOST_LETTERS, WIDTH // 8), np.uint8)
+        self._filled = 0
+
+    def _learn(self, points: np.ndarray) -> None:
+        new = points[self._slots[points] < 0]
+        if self._filled + len(new) > MOST_LETTERS:
+            self._slots[:] = -1
+            self._filled, new = 0, points
+        for point in new.tolist():
+            bits = letter_bits(point)
+            for back in range(3):
+                self._bits[back, self._filled] = np.packbits(np.roll(bits, 2 - back))
+            self._slots[point] = self._filled
+            self._filled += 1
 
     def bundle(self, grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        total = np.zeros(WIDTH, np.float32)
-        for at in range(0, len(grams), 4096):
-            g = grams[at : at + 4096]
-            bound = self.pairs[g >> BITS] * self.last[g & ((1 << BITS) - 1)]
-            total += counts[at : at + 4096].astype(np.float32) @ bound
+        """The sum of the trigrams' vectors, whole numbers."""
+        total = np.zeros(WIDTH)
+        kind = np.float32 if counts.sum() < 1 << 24 else np.float64
+        for at in range(0, len(grams), CHUNK):
+            g, n = grams[at : at + CHUNK], counts[at : at + CHUNK].astype(kind)
+            points = np.stack([g >> 2 * BITS, (g >> BITS) & ((1 << BITS) - 1), g & ((1 << BITS) - 1)])
+            self._learn(np.unique(points))
+            first, middle, last = self._slots[points]
+            bound = self._bits[0, first] ^ self._bits[1, middle] ^ self._bits[2, last]
+            total += n.sum() - 2 * (n @ np.unpackbits(bound, axis=1))
         return total
 
 
@@ -83,28 +108,24 @@ def space() -> Space:
     return _space[0]
 
 
-def _count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The bundle of each language's texts of a batch."""
     for frame in frames:
         for lang, texts in frame.groupby("lang")["text"]:
             found = [trigrams(t) for t in texts]
             grams, place = np.unique(np.concatenate([g for g, _ in found]), return_inverse=True)
             counts = np.bincount(place, np.concatenate([c for _, c in found]), len(grams))
-            yield pd.DataFrame({"lang": lang, "gram": grams, "n": counts.astype(np.int64)})
+            yield pd.DataFrame({"lang": [lang], "vector": [space().bundle(grams, counts).astype(np.int64)]})
 
 
 def profiles(docs: DataFrame, id_col: str = "doc_id") -> tuple[list[str], np.ndarray]:
-    """Languages in order and their unit prototypes. Counts come to the driver per language and trigram of the fixed letter codes."""
+    """Languages in order and their unit prototypes. One vector per language comes to the driver."""
     train = docs.where(~in_fold(id_col, FOLDS, HELD_OUT) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counted = train.select("lang", "text").mapInPandas(_count, "lang string, gram long, n long")
-
-    def bundle(key, frame: pd.DataFrame) -> pd.DataFrame:
-        vector = space().bundle(frame["gram"].to_numpy(), frame["n"].to_numpy())
-        return pd.DataFrame({"lang": [key[0]], "vector": [vector.astype(float).tolist()]})
-
-    # A language's group holds at most one row for each of the 2^18 trigrams.
-    counts = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    rows = store(counts.groupBy("lang").applyInPandas(bundle, "lang string, vector array<double>"), "profiles").orderBy("lang").collect()
-    vectors = np.array([r.vector for r in rows], np.float32).reshape(-1, WIDTH)
+    parts = train.select("lang", "text").mapInPandas(_sums, "lang string, vector array<long>")
+    added = parts.select("lang", F.posexplode("vector").alias("at", "x")).groupBy("lang", "at").agg(F.sum("x").alias("x"))
+    whole = added.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("at", "x")))["x"].alias("vector"))
+    rows = store(whole, "profiles").orderBy("lang").collect()
+    vectors = np.array([r.vector for r in rows], np.float64).reshape(-1, WIDTH)
     norms = np.linalg.norm(vectors, axis=1, keepdims=True)
     return [r.lang for r in rows], vectors / np.maximum(norms, 1e-9)
 
