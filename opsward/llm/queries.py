@@ -6,8 +6,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, jaccard_join, kneser_ney, language_id, line_chunks, line_runs, packing, quality, token_files, toxicity
+from . import (
+    decontamination, exact_dedup, hard_negatives, html_extraction, jaccard_join, kneser_ney, language_id, line_chunks, line_runs, packing,
+    periodic_runs, quality, token_files, toxicity,
+)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +82,19 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_kneser_ney")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.score(table(spark, sf_dir, "documents"))
+
+
+@query("op11_hard_negatives", hard_negatives.ORACLE)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, moved)
+
+
+@query("op12_periodic_runs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digests(periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), prepare=periodic_runs.planted))
+
+
+@query("op13_html_extraction")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract_main_text(table(spark, sf_dir, "pages"))
