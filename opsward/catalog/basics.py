@@ -16,6 +16,7 @@ from ..plans import profiling as pf
 from ..plans import questions as q
 from ..plans import views
 from ..plans.cleaning import NAME_EXCEPTIONS
+from ..sources.access import ACCESS_PATHS
 from ..sources.layers import preview, row_counts
 from .oracle import SNAPSHOT, initcap, key, label, n, n_if, nid, pct, positive, present, score, sentinel, to_date, to_ts, trim, union_all, value_case
 from .registry import query
@@ -65,6 +66,35 @@ def _(w):
     )
 
 
+_HISTORY = ("P0000007", "P0000011", "P0000052")
+
+
+@query("snk05b_patient_history", f"""
+SELECT patient_id, 'referral' AS event, referral_id AS event_id, referral_date::TIMESTAMP AS happened_at, referral_status AS outcome
+FROM clean_referrals WHERE patient_id IN {_HISTORY}
+UNION ALL SELECT patient_id, 'appointment', appointment_id, scheduled_datetime, appointment_status FROM clean_appointments WHERE patient_id IN {_HISTORY}
+UNION ALL SELECT patient_id, 'ED visit', visit_id, arrival_time, disposition FROM clean_ed_visits WHERE patient_id IN {_HISTORY}""")
+def _(w):
+    """Everything known of some patients, read from their buckets alone."""
+    return q.patient_history(w.clean, _HISTORY)
+
+
+_PATH_KEYS = {name: (p.table, p.key) for name, p in ACCESS_PATHS.items()}
+
+
+@query("snk05c_access_paths", union_all(
+    f"SELECT '{name}' AS access_path, {n()} AS stored_rows, count(DISTINCT {k})::BIGINT AS keys, 0::BIGINT AS misplaced_rows FROM clean_{t} WHERE {k} IS NOT NULL"
+    for name, (t, k) in _PATH_KEYS.items()))
+def _(w):
+    """Rows and keys of every access path, and rows in another bucket than their key's hash says."""
+    return union(
+        w.clean[name].every().agg(F.count("*").alias("stored_rows"), F.count_distinct(key_).alias("keys"))
+        .crossJoin(w.clean[name].misplaced().agg(F.count("*").alias("misplaced_rows")))
+        .select(F.lit(name).alias("access_path"), "*")
+        for name, (_, key_) in _PATH_KEYS.items()
+    )
+
+
 # Projections
 
 @query("prj01_project", "SELECT referral_id, facility_city, patient_city, 'referral' AS record_kind FROM v_referral")

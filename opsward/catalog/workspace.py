@@ -3,7 +3,7 @@
 The layers are written once per application as Parquet tables in the shared folder and read back
 by every query, so a question costs one scan instead of the whole cleaning pipeline, lost
 executors only repeat a scan, and Spark knows the exact size of every table it may broadcast.
-The folder is removed when the application ends. Without a shared folder everything stays lazy.
+The folder is removed when the application ends. A cluster has to name one in ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from ..plans.cleaning import clean_table
 from ..plans.mappings import build_mappings
 from ..session import configure, drop_on_exit, scan_bytes, shared_folder, spread_shuffles
 from ..sources import binding
+from ..sources.access import ACCESS_PATHS, write_access
 from ..sources.layers import LAYOUTS, Layers, layout, read_raw
 
 
@@ -47,16 +48,16 @@ class Workspace:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir, self.domain = configure(spark), sf_dir, binding.BOUND_DOMAIN
         folder = shared_folder(spark)
-        self.layers = None
-        if folder:
-            base = f"{folder}/opsward-{spark.sparkContext.applicationId}"
-            drop_on_exit(spark, base)
-            self.layers = Layers(spark, f"{base}/{hashlib.sha256(sf_dir.encode()).hexdigest()[:16]}")
+        if not folder:
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = f"{folder}/opsward-{spark.sparkContext.applicationId}"
+        drop_on_exit(spark, base)
+        self.layers = Layers(spark, f"{base}/{hashlib.sha256(sf_dir.encode()).hexdigest()[:16]}")
         spread_shuffles(spark, sum(scan_bytes(self.source(t)) for t in ("lineitem", "orders", "events")))
         lock = RLock()
         with_mappings = (*schemas.TABLES, "reference_mappings")
         self.raw = LazyTables(schemas.TABLES, self._build_raw, lock)
-        self.clean = LazyTables(with_mappings, self._build_clean, lock)
+        self.clean = LazyTables((*with_mappings, *ACCESS_PATHS), self._build_clean, lock)
         self.csv = LazyTables(schemas.TABLES, self._build_csv, lock)
         self.clustered = LazyTables(tuple(LAYOUTS), self._build_clustered, lock)
         self.damaged_raw = LazyTables(schemas.TABLES, self._build_damaged_raw, lock)
@@ -66,13 +67,10 @@ class Workspace:
         return binding.table(self.spark, self.sf_dir, name)
 
     def _build_raw(self, name: str) -> DataFrame:
-        df = binding.BINDINGS[name](self.spark, self.sf_dir)
-        return self.layers.write("raw", name, df) if self.layers else df
+        return self.layers.write("raw", name, binding.BINDINGS[name](self.spark, self.sf_dir))
 
     def _build_csv(self, name: str) -> DataFrame:
         """The raw table as it would arrive: CSV files with a header."""
-        if not self.layers:
-            return self.raw[name]
         path = f"{self.layers.base_path}/landing/{name}"
         self.raw[name].write.mode("overwrite").options(
             header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
@@ -80,13 +78,14 @@ class Workspace:
         return read_raw(self.spark, path, name)
 
     def _build_clustered(self, name: str) -> DataFrame:
-        df = layout(self.clean[name], *LAYOUTS[name])
-        return self.layers.write("analytics", f"{name}_clustered", df) if self.layers else df
+        return self.layers.write("analytics", f"{name}_clustered", layout(self.clean[name], *LAYOUTS[name]))
 
     def _build_damaged_raw(self, name: str) -> DataFrame:
         return self.raw[name].unionByName(binding.damaged_rows(self.spark, name))
 
     def _build_clean(self, name: str) -> DataFrame:
+        if name in ACCESS_PATHS:
+            return write_access(self.layers, name, self.clean[ACCESS_PATHS[name].table])
         return self._finish("clean", name, self.raw, self.clean)
 
     def _build_damaged_clean(self, name: str) -> DataFrame:
@@ -95,9 +94,8 @@ class Workspace:
     def _finish(self, layer: str, name: str, raw: Mapping, clean: Mapping) -> DataFrame:
         if name == "reference_mappings":
             return build_mappings(self.spark, self.domain)
-        store = self.layers.orphan_store(name, layer) if self.layers else None
-        df = clean_table(name, raw[name], clean, self.domain, store)
-        return self.layers.write_clean(name, df, layer) if self.layers else df
+        df = clean_table(name, raw[name], clean, self.domain, self.layers.orphan_store(name, layer))
+        return self.layers.write_clean(name, df, layer)
 
 
 _open: dict[tuple[str, str], Workspace] = {}

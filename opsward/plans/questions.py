@@ -6,6 +6,9 @@ aggregated on the fact's own keys before names are joined wherever the measures
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -185,6 +188,31 @@ def no_show_by_quintile(clean: Clean, domain: Domain) -> DataFrame:
     return _with_no_show_rate(sums.where(F.col("deprivation_quintile").isNotNull())).orderBy("deprivation_quintile")
 
 
+# One patient
+
+def patient_history(clean: Clean, patients: Sequence[str]) -> DataFrame:
+    """Referrals, appointments and emergency visits of some patients with time and outcome.
+
+    Reads the patients' buckets where the tables are stored by patient, the whole tables otherwise.
+    """
+    events = {
+        "referral": ("referrals", "referral_id", "referral_date", "referral_status"),
+        "appointment": ("appointments", "appointment_id", "scheduled_datetime", "appointment_status"),
+        "ED visit": ("ed_visits", "visit_id", "arrival_time", "disposition"),
+    }
+    parts = []
+    for event, (table, key, time, outcome) in events.items():
+        access = clean.get(f"{table}_by_patient")
+        rows = clean[table].where(F.col("patient_id").isin(*patients)) if access is None else access.history(*patients)
+        parts.append(
+            rows.select(
+                "patient_id", F.lit(event).alias("event"), F.col(key).alias("event_id"),
+                F.col(time).cast("timestamp_ntz").alias("happened_at"), F.col(outcome).alias("outcome"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
 # Emergency visits
 
 def ed_by_month_region(clean: Clean, domain: Domain) -> DataFrame:
@@ -239,10 +267,14 @@ def visits_with_previous_discharge(clean: Clean, columns=(), ignore_nulls: bool
     """Visits of known patients beside the discharge of the patient's visit before.
 
     By default the directly preceding visit counts even when it has no discharge time;
-    ``ignore_nulls`` looks back to the last visit that has one.
+    ``ignore_nulls`` looks back to the last visit that has one. Visits stored by patient (see
+    ``sources.access``) are not shuffled.
     """
-    visits = clean["ed_visits"].where(F.col("patient_id").isNotNull())
     needed = dict.fromkeys(["visit_id", "patient_id", "facility_id", "arrival_time", "discharge_time", *columns])
+    by_patient = clean.get("ed_visits_by_patient")
+    if by_patient is not None:
+        return by_patient.previous("discharge_time", "previous_discharge_time", list(needed), ignore_nulls)
+    visits = clean["ed_visits"].where(F.col("patient_id").isNotNull())
     return previous_value(
         visits.select(*needed), "patient_id", "arrival_time", "visit_id", "discharge_time",
         "previous_discharge_time", ignore_nulls=ignore_nulls,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -86,3 +87,18 @@ def shared_folder(spark: SparkSession) -> str | None:
     if app not in _local_scratch:
         _local_scratch[app] = tempfile.mkdtemp(prefix="opsward-")
     return _local_scratch[app]
+
+
+def stored(name: str, df: DataFrame) -> DataFrame:
+    """Write a table to the shared folder and read it back: it is computed once, and a lost executor costs a scan.
+
+    It goes when the application ends.
+    """
+    spark = df.sparkSession
+    folder = shared_folder(spark)
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    path = f"{folder}/opsward-{spark.sparkContext.applicationId}/kept/{name}-{uuid.uuid4().hex}"
+    drop_on_exit(spark, path)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

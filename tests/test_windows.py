@@ -7,6 +7,7 @@ from collections import defaultdict
 import pytest
 
 from opsward.operators.windows import hot_keys, previous_value
+from opsward.session import stored
 
 SCHEMA = "visit string, patient string, arrival timestamp_ntz, discharge timestamp_ntz"
 
@@ -42,13 +43,13 @@ def brute_force(rows, ignore_nulls):
 
 
 @pytest.mark.parametrize("ignore_nulls", [False, True])
-@pytest.mark.parametrize("unit", ["hour", "day"])
+@pytest.mark.parametrize("range_rows", [10, 100])
 @pytest.mark.parametrize("share", [4, 1000])
-def test_matches_brute_force(spark, ignore_nulls, unit, share):
-    rows = make_rows(seed=share + len(unit))
+def test_matches_brute_force(spark, ignore_nulls, range_rows, share):
+    rows = make_rows(seed=share + range_rows)
     df = spark.createDataFrame(rows, SCHEMA)
     found = previous_value(
-        df, "patient", "arrival", "visit", "discharge", "before", ignore_nulls=ignore_nulls, slice_unit=unit, share=share, min_rows=0
+        df, "patient", "arrival", "visit", "discharge", "before", ignore_nulls=ignore_nulls, share=share, min_rows=0, range_rows=range_rows
     )
     assert found.columns == ["visit", "patient", "arrival", "discharge", "before"]
     got = {r.visit: r.before for r in found.collect()}
@@ -63,12 +64,40 @@ def test_hot_keys_are_bounded(spark):
     assert hot_keys(df, "patient").count() == 0  # all keys are small
 
 
-def test_hot_key_is_spread_over_many_windows(spark):
-    """The rows of the hot key must not meet in one window partition."""
+NO_TIME = [None] * 3000
+ONE_HOUR = [dt.datetime(2026, 1, 1, 9) + dt.timedelta(seconds=i % 3600) for i in range(3000)]
+ONE_MOMENT = [dt.datetime(2026, 1, 1, 9)] * 3000
+
+
+@pytest.mark.parametrize("times", [NO_TIME, ONE_HOUR, ONE_MOMENT, NO_TIME[:1500] + ONE_HOUR[:1500]])
+@pytest.mark.parametrize("ignore_nulls", [False, True])
+def test_hot_key_is_spread_whatever_its_times(spark, times, ignore_nulls):
+    """All rows in one hour, at one moment or without a time: every range stays small, answers are those of one window."""
+    rng = random.Random(1)
+    discharges = [dt.datetime(2026, 1, 2) + dt.timedelta(minutes=i) if rng.random() < 0.4 else None for i in range(len(times))]
+    rows = [(f"v{i:05d}", "hot", t, d) for i, (t, d) in enumerate(zip(times, discharges))] + make_rows(seed=5, n=100)[:50]
+    rows = [(f"{v}{'' if p == 'hot' else 'x'}", p, t, d) for v, p, t, d in rows]
+    rows = list({r[0]: r for r in rows}.values())
+    kept = {}
+
+    def store(name, df):
+        kept[name] = stored(name, df)
+        return kept[name]
+
+    df = spark.createDataFrame(rows, SCHEMA).repartition(7)
+    found = previous_value(
+        df, "patient", "arrival", "visit", "discharge", "before", ignore_nulls, share=10, min_rows=100, range_rows=200, store=store
+    )
+    sizes = [r["count"] for r in kept["hot_ranges"].groupBy("patient", "__range").count().collect()]
+    assert len(sizes) >= 10 and max(sizes) < 600
+    assert {r.visit: r.before for r in found.collect()} == brute_force(rows, ignore_nulls)
+
+
+def test_without_hot_keys_there_is_one_window(spark):
     df = spark.createDataFrame(make_rows(seed=3), SCHEMA)
-    plan = previous_value(df, "patient", "arrival", "visit", "discharge", "before", share=4, min_rows=0)
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange hashpartitioning(patient" in text and "__slice" in text
+    plan = previous_value(df, "patient", "arrival", "visit", "discharge", "before")
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Window") == 1 and "Union" not in text
 
 
 def test_empty_input(spark):
@@ -82,5 +111,5 @@ def test_null_ties_order_alike_on_both_paths(spark):
         "k string, t string, id string, v int",
     ).selectExpr("k", "cast(t as timestamp_ntz) t", "id", "v")
     plain = previous_value(df, "k", "t", "id", "v", "before")
-    hot = previous_value(df, "k", "t", "id", "v", "before", share=10, min_rows=0)
+    hot = previous_value(df, "k", "t", "id", "v", "before", share=10, min_rows=0, range_rows=1)
     assert sorted(map(str, plain.collect())) == sorted(map(str, hot.collect()))
