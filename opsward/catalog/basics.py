@@ -16,6 +16,7 @@ from ..plans import profiling as pf
 from ..plans import questions as q
 from ..plans import views
 from ..plans.cleaning import NAME_EXCEPTIONS
+from ..sources import statistics
 from ..sources.access import ACCESS_PATHS
 from ..sources.layers import preview, row_counts
 from .oracle import SNAPSHOT, initcap, key, label, n, n_if, nid, pct, positive, present, score, sentinel, to_date, to_ts, trim, union_all, value_case
@@ -66,6 +67,26 @@ def _(w):
     )
 
 
+_ANALYSED = {t: [c for c in cs if c not in ("referral_id", "appointment_id", "visit_id")] for t, cs in statistics.ANALYSED.items()}
+
+
+@query("snk04_statistics", union_all(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, {n()} AS row_count, {n()} - {n(c)} AS null_count, "
+    f"{n(f'DISTINCT {c}')} AS distinct_values, true AS estimate_is_close FROM clean_{t}"
+    for t, cs in _ANALYSED.items() for c in cs))
+def _(w):
+    """What the catalog knows after the clean tables were analysed, and whether its distinct counts are within 15 per cent."""
+    for table in schemas.TABLES:
+        _ = w.clean[table]
+    statistics.refresh(w.layers)
+    known = statistics.column_statistics(w.layers, _ANALYSED)
+    off = F.abs(F.col("distinct_count") - F.col("exact"))
+    return known.join(statistics.distinct_counts(w.layers, _ANALYSED), ["table_name", "column_name"]).select(
+        "table_name", "column_name", "row_count", "null_count", F.col("exact").alias("distinct_values"),
+        (off <= F.greatest(F.lit(1.0), 0.15 * F.col("exact"))).alias("estimate_is_close"),
+    )
+
+
 _HISTORY = ("P0000007", "P0000011", "P0000052")
 
 

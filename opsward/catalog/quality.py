@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..plans import constraints as ct
+from ..plans import gates
 from ..plans import profiling as pf
 from ..plans import validation as vl
 from ..plans.mappings import build_mappings
@@ -231,22 +232,30 @@ def _clean_names(t: str) -> list[str]:
     return [p.split()[0] for p in schemas.CLEAN_DDL[t].split(",")]
 
 
-@query("ct02_not_null", union_all(
-    _rule(t, "not_null", c, f"{c} IS NULL") for t in TABLES for c in _clean_names(t) if c not in schemas.NULLABLE[t]))
+_NOT_NULL = [_rule(t, "not_null", c, f"{c} IS NULL") for t in TABLES for c in _clean_names(t) if c not in schemas.NULLABLE[t]]
+
+
+@query("ct02_not_null", union_all(_NOT_NULL))
 def _(w):
     return ct.evaluate(w.damaged_clean, ct.not_null_rules())
 
 
-@query("ct03_check_domain", union_all(
+_ALLOWED = [
     _rule(t, "allowed_values", c, f"{c} NOT IN ({', '.join(map(literal, v))})")
-    for t, cs in schemas.value_lists(BOUND_DOMAIN).items() for c, v in cs.items()))
+    for t, cs in schemas.value_lists(BOUND_DOMAIN).items() for c, v in cs.items()
+]
+
+
+@query("ct03_check_domain", union_all(_ALLOWED))
 def _(w):
     return ct.evaluate(w.damaged_clean, ct.domain_rules(w.domain))
 
 
-@query("ct04_check_range", union_all(
-    [_rule(t, "range", c, f"{c} <= 0") for t, cs in pf.POSITIVE_COLUMNS.items() for c in cs]
-    + [_rule(t, "range", c, f"{c} NOT BETWEEN 1 AND 5") for t, (c, _s) in pf.SCORE_COLUMNS.items()]))
+_RANGES = [_rule(t, "range", c, f"{c} <= 0") for t, cs in pf.POSITIVE_COLUMNS.items() for c in cs]
+_RANGES += [_rule(t, "range", c, f"{c} NOT BETWEEN 1 AND 5") for t, (c, _s) in pf.SCORE_COLUMNS.items()]
+
+
+@query("ct04_check_range", union_all(_RANGES))
 def _(w):
     return ct.evaluate(w.damaged_clean, ct.range_rules())
 
@@ -258,25 +267,56 @@ _ORDERED = [
 ]
 
 
-@query("ct05_check_order", union_all(_rule(t, "order", f"{a} <= {b}", f"{a} > {b}") for t, a, b in _ORDERED))
+_ORDERS = [_rule(t, "order", f"{a} <= {b}", f"{a} > {b}") for t, a, b in _ORDERED]
+
+
+@query("ct05_check_order", union_all(_ORDERS))
 def _(w):
     return ct.evaluate(w.damaged_clean, ct.order_rules())
 
 
-@query("ct06_check_date_bounds", union_all([
+_BOUNDS = [
     _rule("patients", "date_bounds", "date_of_birth", f"date_of_birth NOT BETWEEN DATE '1900-01-01' AND {SNAPSHOT}"),
-    _rule("patients", "date_bounds", "enrolment_date", f"enrolment_date > {SNAPSHOT}")]))
+    _rule("patients", "date_bounds", "enrolment_date", f"enrolment_date > {SNAPSHOT}"),
+]
+
+
+@query("ct06_check_date_bounds", union_all(_BOUNDS))
 def _(w):
     return ct.evaluate(w.damaged_clean, ct.date_bound_rules(w.domain))
 
 
-@query("ct07_max_length", union_all(
+_LENGTHS = [
     _rule(t, "max_length", f"{c} <= {limit}", f"length({c}) > {limit}")
-    for t, cs in schemas.MAX_LENGTHS.items() for c, limit in cs.items()))
+    for t, cs in schemas.MAX_LENGTHS.items() for c, limit in cs.items()
+]
+
+
+@query("ct07_max_length", union_all(_LENGTHS))
 def _(w):
     return ct.evaluate(w.damaged_clean, ct.length_rules())
 
 
+@query("ct09_gate_counts", union_all([*_NOT_NULL, *_ALLOWED, *_RANGES, *_ORDERS, *_BOUNDS, *_LENGTHS]))
+def _(w):
+    """Every row rule, as counted while the damaged tables were written: no table is read again."""
+    return gates.stored_rules(w.checks())
+
+
+@query("ct10_gate_flags", union_all(
+    f"SELECT '{t}' AS table_name, '{f}' AS flag_name, {n_if(f)} AS flagged_rows FROM bad_clean_{t}"
+    for t, fs in schemas.QUALITY_FLAGS.items() for f in fs))
+def _(w):
+    return gates.stored_flags(w.checks())
+
+
+@query("ct11_gate_completeness", union_all(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, {n()} AS total_rows, {n_if(c + ' IS NULL')} AS missing_rows FROM bad_clean_{t}"
+    for t in TABLES for c in _clean_names(t)))
+def _(w):
+    return gates.stored_completeness(w.checks())
+
+
 @query("ag12_stacked_rules", union_all(
     _rule("referrals", kind, name, broken) for kind, name, broken in [
         ("not_null", "referral_date", "referral_date IS NULL"), ("not_null", "referral_status", "referral_status IS NULL"),

@@ -10,11 +10,13 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator, Mapping
+from functools import reduce
 from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import schemas
+from ..plans import constraints, gates
 from ..plans.cleaning import clean_table
 from ..plans.mappings import build_mappings
 from ..session import configure, drop_on_exit, scan_bytes, shared_folder, spread_shuffles
@@ -95,7 +97,16 @@ class Workspace:
         if name == "reference_mappings":
             return build_mappings(self.spark, self.domain)
         df = clean_table(name, raw[name], clean, self.domain, self.layers.orphan_store(name, layer))
-        return self.layers.write_clean(name, df, layer)
+        gated = gates.write_gated(self.layers, name, df, constraints.row_rules(self.domain), layer=layer)
+        if layer == "clean_damaged":
+            gates.store_checks(self.layers, name, gated)
+        return gated.clean
+
+    def checks(self) -> DataFrame:
+        """What was counted while the damaged tables were written."""
+        for name in schemas.TABLES:
+            _ = self.damaged_clean[name]
+        return reduce(DataFrame.unionByName, [self.layers.read("analytics", f"checks_{t}") for t in schemas.TABLES])
 
 
 _open: dict[tuple[str, str], Workspace] = {}

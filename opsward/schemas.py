@@ -197,6 +197,10 @@ def value_lists(domain: Domain) -> dict[str, dict[str, tuple[str, ...]]]:
     }
 
 
+def clean_columns(table: str) -> list[str]:
+    return [part.split()[0] for part in CLEAN_DDL[table].split(",")]
+
+
 def raw_schema(table: str) -> StructType:
     """All-text schema of a raw table; types are never inferred."""
     return StructType([StructField(name, StringType(), True) for name in RAW_COLUMNS[table]])

@@ -32,21 +32,41 @@ def read_raw(spark: SparkSession, path: str, table: str) -> DataFrame:
     )
 
 
+#: Folder level below a clean table: sound rows, and those that a rule rejected in the same write.
+VERDICT = "verdict"
+
+
+def typed(table: str, df: DataFrame) -> DataFrame:
+    """The columns of a clean table in their declared types."""
+    fields = [part.strip().split(" ") for part in schemas.CLEAN_DDL[table].split(",")]
+    return df.select(*[F.col(name).cast(kind) for name, kind in fields])
+
+
 class Layers:
     """Namespaces ``raw``, ``clean`` and ``analytics`` below one base folder, one Parquet table each."""
 
     NAMES = ("raw", "clean", "analytics")
     TYPED = ("clean", "clean_staged", "clean_damaged")
+    GATED = ("clean", "clean_damaged")
 
     def __init__(self, spark: SparkSession, base_path: str):
         self.spark = spark
         self.base_path = base_path.rstrip("/")
 
-    def path(self, layer: str, table: str) -> str:
+    def root(self, layer: str, table: str) -> str:
+        """Folder of a table, with all its verdicts."""
         if layer.split("_")[0] not in self.NAMES:
             raise ValueError(f"unknown layer {layer!r}")
         return f"{self.base_path}/{layer}/{table}"
 
+    def path(self, layer: str, table: str) -> str:
+        """Folder of a table's files; sound and rejected rows of a clean table lie side by side."""
+        if layer in self.GATED:
+            return f"{self.root(layer, table)}/{VERDICT}=sound"
+        if layer.removesuffix("_rejected") in self.GATED:
+            return f"{self.root(layer.removesuffix('_rejected'), table)}/{VERDICT}=rejected"
+        return self.root(layer, table)
+
     def write(self, layer: str, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
         """Rebuild a table from scratch, so a rerun never duplicates rows; returns the stored table."""
         writer = df.write.mode("overwrite")
@@ -57,8 +77,7 @@ class Layers:
 
     def write_clean(self, table: str, df: DataFrame, layer: str = "clean") -> DataFrame:
         """Cast to the declared clean types, then rebuild the table."""
-        fields = [part.strip().split(" ") for part in schemas.CLEAN_DDL[table].split(",")]
-        return self.write(layer, table, df.select(*[F.col(name).cast(kind) for name, kind in fields]))
+        return self.write(layer, table, typed(table, df))
 
     def exists(self, layer: str, table: str) -> bool:
         try:
@@ -67,6 +86,11 @@ class Layers:
             return False
         return True
 
+    def drop(self, layer: str, table: str) -> None:
+        """Remove a table's files, if there are any."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(layer, table))
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
     def orphan_store(self, table: str, layer: str = "clean"):
         """Keeps the keys of a table that have no parent, one small table per relationship."""
         return lambda key, df: self.write(f"{layer}_orphans", f"{table}_{key}", df)
@@ -108,14 +132,18 @@ def upsert(base: DataFrame, incoming: DataFrame, keys: Sequence[str], check: boo
     return base.join(incoming, list(keys), "left_anti").unionByName(incoming)
 
 
+def layout_order(time_column: str | None, sort_by: Sequence[str]) -> list[Column]:
+    month: list[Column] = [F.trunc(F.col(time_column).cast("date"), "month")] if time_column else []
+    return month + [F.col(c) for c in sort_by]
+
+
 def layout(df: DataFrame, time_column: str | None, sort_by: Sequence[str], partitions: int | None = None) -> DataFrame:
     """Cluster rows by month and access key so that Parquet min/max statistics skip files.
 
     Range partitioning over the whole composite key splits a hot month, department or patient over
     as many files as it needs.
     """
-    month: list[Column] = [F.trunc(F.col(time_column).cast("date"), "month")] if time_column else []
-    order = month + [F.col(c) for c in sort_by]
+    order = layout_order(time_column, sort_by)
     spread = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     return spread.sortWithinPartitions(*order)
 
