@@ -9,7 +9,7 @@ from ..plans import model
 from ..plans import questions as q
 from ..plans import views
 from .oracle import avg2, n, n_if, pct, union_all
-from .registry import query
+from .registry import REGISTRY, query
 
 # Views
 
@@ -507,3 +507,22 @@ SELECT measure_name, c::BIGINT AS measured, c::BIGINT AS independent, 0::BIGINT
     ('Admission rate %', 'admitted_flag', 'v_ed'), ('Left before treatment %', 'left_before_treatment_flag', 'v_ed')])})""")
 def _(w):
     return model.reconcile_measures(w.clean, w.domain)
+
+
+# Order of the answers
+
+def _positions_twin(name: str, order: str) -> str:
+    bands = "CASE {0} WHEN '0-14 days' THEN 1 WHEN '15-30 days' THEN 2 WHEN '31-60 days' THEN 3 ELSE 4 END NULLS LAST"
+    forms = {"+": "{0} NULLS LAST", "-": "{0} DESC NULLS FIRST", "#": bands}
+    by = ", ".join(forms[part[0]].format(part[1:]) for part in order.split())
+    label = ", ".join(f"{c}::VARCHAR" for c in q.row_names(order))
+    return (
+        f"SELECT '{name}' AS question, row_number() OVER (ORDER BY {by}) AS position, concat_ws(' / ', {label}) AS row_name"
+        f" FROM ({REGISTRY[name].statement})"
+    )
+
+
+@query("so01_answer_positions", union_all(_positions_twin(name, order) for name, (_, order) in q.ORDERS.items()))
+def _(w):
+    """Position of every row in its answer: the sorts of all business and insight questions."""
+    return q.positions(w.clean, w.domain)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -523,3 +526,15 @@ def _(w):
         F.col("routine_target_days").alias("bed_capacity"),
     )
     return upsert(base, changed.unionByName(new), ["facility_id"])
+
+
+@query("vl16_final_review", union_all(
+    f"SELECT '{t}' AS table_name, {PK[t]} AS row_key, row_number() OVER (ORDER BY {PK[t]} NULLS LAST) AS review_position FROM bad_clean_{t}"
+    for t in TABLES))
+def _(w):
+    """All rows of all tables in key order; damaged rows include repeated and missing keys."""
+    parts = [
+        vl.final_review(t, w.damaged_clean[t]).select(F.lit(t).alias("table_name"), F.col(PK[t]).alias("row_key"), "review_position")
+        for t in TABLES
+    ]
+    return reduce(DataFrame.unionByName, parts)

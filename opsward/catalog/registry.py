@@ -18,6 +18,8 @@ class Query:
     name: str
     build: Callable[[Workspace], DataFrame]
     oracle: str | None
+    #: The twin without the named blocks it uses.
+    statement: str | None = None
 
 
 REGISTRY: dict[str, Query] = {}
@@ -27,7 +29,7 @@ def query(name: str, oracle: str | None = None):
     def register(build: Callable[[Workspace], DataFrame]):
         if name in REGISTRY:
             raise ValueError(f"query {name!r} registered twice")
-        REGISTRY[name] = Query(name, build, sql(oracle) if oracle else None)
+        REGISTRY[name] = Query(name, build, sql(oracle) if oracle else None, oracle)
         return build
 
     return register

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import avg_2dp, month_name, month_of, pct, ratio_avg_2dp
+from ..operators.ordering import with_position
 from ..operators.rollups import sums_by_dimension
 from ..operators.shares import share_of_total
 from ..operators.windows import previous_value
@@ -299,3 +300,45 @@ def return_within_window(clean: Clean, domain: Domain, ignore_nulls: bool = Fals
     visits = visits_with_previous_discharge(clean, ignore_nulls=ignore_nulls)
     sums = sums_by_dimension(visits, "facility_id", clean["facilities"], ["facility_name"], return_sums(domain))
     return with_return_rate(sums).orderBy(*_down("return_percentage", "facility_name"))
+
+
+# The order of every answer: + ascending, - descending, # by the sequence of the wait bands. The columns without
+# a descending metric name the row.
+ORDERS = {
+    "bq01_referrals_by_month_status": (referrals_by_month_status, "+referral_month +referral_status"),
+    "bq02_backlog_by_department": (backlog_by_department, "-total_backlog +hospital_region +facility_name +department_name"),
+    "bq03_backlog_bands": (backlog_bands, "+hospital_region #backlog_wait_band"),
+    "bq04_first_appointment_target": (first_appointment_target, "+hospital_region +urgency"),
+    "bq05_appointments_by_month_status": (appointments_by_month_status, "+scheduled_month +appointment_status"),
+    "bq06_no_show_by_department": (no_show_by_department, "-no_show_rate_percentage +hospital_region +facility_name +department_name"),
+    "bq07_wait_target_by_department": (wait_target_by_department, "+target_met_percentage +hospital_region +facility_name +department_name"),
+    "bq08_no_show_by_channel": (no_show_by_channel, "-no_show_rate_percentage +booking_channel"),
+    "bq09_no_show_by_quintile": (no_show_by_quintile, "+deprivation_quintile"),
+    "bq10_ed_by_month_region": (ed_by_month_region, "+arrival_month +hospital_region"),
+    "bq11_ed_length_of_stay": (ed_length_of_stay, "-average_length_of_stay_hours +hospital_region +facility_name"),
+    "bq12_admission_and_left": (admission_and_left, "-total_ed_visits +hospital_region +facility_name"),
+    "bq13_presenting_mix": (presenting_mix, "-total_ed_visits +presenting_group"),
+    "bq14_return_within_window": (return_within_window, "-return_percentage +facility_name"),
+    "iq01_extreme_months": (extreme_months, "+referral_year -total_referrals +referral_month"),
+    "iq02_status_share": (status_share, "-total_referrals +referral_status"),
+}
+
+
+def order_columns(order: str) -> list[Column]:
+    kinds = {"+": lambda c: F.col(c).asc_nulls_last(), "-": lambda c: F.col(c).desc_nulls_first(), "#": lambda c: band_order(F.col(c)).asc_nulls_last()}
+    return [kinds[part[0]](part[1:]) for part in order.split()]
+
+
+def row_names(order: str) -> list[str]:
+    """The columns of an order that name a row, without its metrics."""
+    return [part[1:] for part in order.split() if part[0] != "-" and not part.endswith("_percentage")]
+
+
+def positions(clean: Clean, domain: Domain) -> DataFrame:
+    """(question, position, row_name) of every row of every answer, in the question's order."""
+    parts = []
+    for name, (answer, order) in ORDERS.items():
+        placed = with_position(answer(clean, domain), order_columns(order))
+        label = F.concat_ws(" / ", *[F.col(c).cast("string") for c in row_names(order)])
+        parts.append(placed.select(F.lit(name).alias("question"), "position", label.alias("row_name")))
+    return reduce(DataFrame.unionByName, parts)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import pct
 from ..operators.joins import join_inflation
+from ..operators.ordering import with_position
 from ..operators.stacking import count_rules
 from ..schemas import Domain
 from .views import Clean
@@ -303,4 +304,5 @@ def negative_waits(clean: Clean, domain: Domain) -> DataFrame:
 
 
 def final_review(table: str, df: DataFrame) -> DataFrame:
-    return df.orderBy(*[F.col(k).asc_nulls_last() for k in schemas.PRIMARY_KEYS[table]])
+    """All rows by primary key, with their position; rows that repeat a key stand next to each other."""
+    return with_position(df, [F.col(k).asc_nulls_last() for k in schemas.PRIMARY_KEYS[table]], "review_position")
