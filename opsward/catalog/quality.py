@@ -14,6 +14,7 @@ from ..plans import profiling as pf
 from ..plans import validation as vl
 from ..plans.mappings import build_mappings
 from ..sources.binding import BOUND_DOMAIN
+from ..sources.keyed import KeyedTable
 from ..sources.layers import upsert
 from .oracle import SNAPSHOT, n, n_if, nid, pct, present, sentinel, to_date, to_ts, trim, union_all
 from .registry import query
@@ -528,6 +529,25 @@ def _(w):
     return upsert(base, changed.unionByName(new), ["facility_id"])
 
 
+_LATE = "referral_date >= DATE '2000-06-01' AND referral_status = 'Open'"
+
+
+@query("snk03b_keyed_upsert", f"""
+SELECT referral_id, department_id, CASE WHEN {_LATE} THEN 'Waiting' ELSE referral_status END AS referral_status FROM clean_referrals
+UNION ALL SELECT 'N' || referral_id, department_id, 'Booked' FROM clean_referrals WHERE {_LATE}""")
+def _(w):
+    """Late open referrals become waiting, and each brings a new one; only the parts of these keys are written again."""
+    columns = ["referral_id", "department_id", "referral_status"]
+    table = KeyedTable(w.layers, "analytics", "referral_states", ["referral_id"])
+    base = w.clean["referrals"].select(*columns)
+    table.rebuild(base, parts=16)
+    late = w.clean["referrals"].where(_LATE).select("referral_id", "department_id")
+    new = late.select(F.concat(F.lit("N"), "referral_id").alias("referral_id"), "department_id", F.lit("Booked").alias("referral_status"))
+    incoming = late.withColumn("referral_status", F.lit("Waiting")).unionByName(new)
+    table.upsert(incoming)
+    return table.upsert(incoming)
+
+
 @query("vl16_final_review", union_all(
     f"SELECT '{t}' AS table_name, {PK[t]} AS row_key, row_number() OVER (ORDER BY {PK[t]} NULLS LAST) AS review_position FROM bad_clean_{t}"
     for t in TABLES))
