@@ -15,7 +15,7 @@ from ..operators.stacking import unpivot_text
 from ..plans import profiling as pf
 from ..plans import questions as q
 from ..plans import views
-from ..plans.cleaning import NAME_EXCEPTIONS
+from ..plans.cleaning import NAME_EXCEPTIONS, read_dates
 from ..sources import statistics
 from ..sources.access import ACCESS_PATHS
 from ..sources.layers import preview, row_counts
@@ -470,16 +470,14 @@ SELECT referral_id, {to_date('referral_date')} AS referral_day, {to_date('first_
 FROM bad_raw_referrals""")
 def _(w):
     days = {"referral_day": "referral_date", "first_day": "first_appointment_date", "closed_day": "closed_date"}
-    return w.damaged_raw["referrals"].select("referral_id", *[fn.parse_date(F.col(c)).alias(a) for a, c in days.items()])
+    return w.damaged_raw["referrals"].select("referral_id", *[fn.parse_date(F.col(c), w.domain.date_formats).alias(a) for a, c in days.items()])
 
 
 @query("fn09_to_timestamp", f"""
 SELECT visit_id, {to_ts('arrival_time')} AS arrived_at, {to_ts('discharge_time')} AS left_at FROM bad_raw_ed_visits""")
 def _(w):
-    return w.damaged_raw["ed_visits"].select(
-        "visit_id", fn.parse_timestamp(F.col("arrival_time")).alias("arrived_at"),
-        fn.parse_timestamp(F.col("discharge_time")).alias("left_at"),
-    )
+    read = read_dates("ed_visits", w.domain)
+    return w.damaged_raw["ed_visits"].select("visit_id", read["arrival_time"].alias("arrived_at"), read["discharge_time"].alias("left_at"))
 
 
 @query("fn10_to_int", f"""
@@ -500,7 +498,7 @@ def _(w):
 
 @query("fn13_is_valid_date", f"SELECT patient_id, date_of_birth, {to_date('date_of_birth')} IS NOT NULL AS is_date FROM bad_raw_patients")
 def _(w):
-    valid = fn.parse_date(F.col("date_of_birth")).isNotNull()
+    valid = fn.parse_date(F.col("date_of_birth"), w.domain.date_formats).isNotNull()
     return w.damaged_raw["patients"].select("patient_id", "date_of_birth", valid.alias("is_date"))
 
 
@@ -565,7 +563,7 @@ def _(w):
 SELECT patient_id, CASE WHEN {to_date('date_of_birth')} BETWEEN DATE '1900-01-01' AND {SNAPSHOT} THEN {to_date('date_of_birth')} END AS birth_date
 FROM bad_raw_patients""")
 def _(w):
-    born = fn.parse_date_in_range(F.col("date_of_birth"), schemas.FIRST_VALID_BIRTH_DATE, w.domain.snapshot)
+    born = fn.parse_date_in_range(F.col("date_of_birth"), schemas.FIRST_VALID_BIRTH_DATE, w.domain.snapshot, w.domain.date_formats)
     return w.damaged_raw["patients"].select("patient_id", born.alias("birth_date"))
 
 
@@ -573,7 +571,8 @@ def _(w):
 SELECT appointment_id, CASE WHEN c IS NULL OR s >= c THEN s END AS kept_without_base, CASE WHEN s >= c THEN s END AS kept_with_base
 FROM (SELECT appointment_id, {to_ts('check_in_time')} AS c, {to_ts('seen_time')} AS s FROM raw_appointments)""")
 def _(w):
-    seen, arrived = fn.parse_timestamp(F.col("seen_time")), fn.parse_timestamp(F.col("check_in_time"))
+    read = read_dates("appointments", w.domain)
+    seen, arrived = read["seen_time"], read["check_in_time"]
     return w.raw["appointments"].select(
         "appointment_id", fn.null_if_before(seen, arrived, keep_without_base=True).alias("kept_without_base"),
         fn.null_if_before(seen, arrived).alias("kept_with_base"),

@@ -48,12 +48,17 @@ def positive(x: str) -> str:
     return f"CASE WHEN regexp_full_match({trim(x)}, '[1-9][0-9]*') THEN TRY_CAST({trim(x)} AS INTEGER) END"
 
 
+_DATE_FORMS = "['%Y%m%d', '%Y/%m/%d', '%d %b %Y', '%b %d, %Y']"
+_TIME_FORMS = "['%Y%m%d %H:%M:%S', '%Y/%m/%d %H:%M:%S', '%d %b %Y %H:%M:%S', '%d %b %Y %H:%M', '%Y%m%d', '%Y/%m/%d', '%d %b %Y', '%b %d, %Y']"
+_ISO = "'^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}'"
+
+
 def to_date(x: str) -> str:
-    return f"CASE WHEN regexp_matches({trim(x)}, '^[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}') THEN TRY_CAST({trim(x)} AS DATE) END"
+    return f"CASE WHEN regexp_matches({trim(x)}, {_ISO}) THEN TRY_CAST({trim(x)} AS DATE) ELSE try_strptime({trim(x)}, {_DATE_FORMS})::DATE END"
 
 
 def to_ts(x: str) -> str:
-    return f"CASE WHEN regexp_matches({trim(x)}, '^[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}') THEN TRY_CAST({trim(x)} AS TIMESTAMP) END"
+    return f"CASE WHEN regexp_matches({trim(x)}, {_ISO}) THEN TRY_CAST({trim(x)} AS TIMESTAMP) ELSE try_strptime({trim(x)}, {_TIME_FORMS}) END"
 
 
 def sentinel(x: str, values) -> str:

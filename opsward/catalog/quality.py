@@ -106,7 +106,7 @@ SELECT patient_id, date_of_birth, issue_type FROM (
     WHEN {to_date('date_of_birth')} < DATE '1900-01-01' THEN 'Birth date requires review: before 1900' END AS issue_type
   FROM bad_raw_patients) WHERE issue_type IS NOT NULL""")
 def _(w):
-    return pf.birth_date_issues(w.damaged_raw["patients"])
+    return pf.birth_date_issues(w.damaged_raw["patients"], domain=w.domain)
 
 
 @query("pf08_missing_fk", f"""
@@ -142,7 +142,7 @@ FROM ({union_all(parts)}) GROUP BY 1, 2"""
     _issue("ed_visits", "Discharge before arrival", f"{to_ts('discharge_time')} < {to_ts('arrival_time')}"),
 ]))
 def _(w):
-    return pf.impossible_timelines(w.damaged_raw)
+    return pf.impossible_timelines(w.damaged_raw, w.domain)
 
 
 _completed = f"lower({trim('appointment_status')}) = 'completed'"
@@ -301,7 +301,19 @@ def _(w):
     return ct.evaluate(w.damaged_clean, ct.length_rules())
 
 
-@query("ct09_gate_counts", union_all([*_NOT_NULL, *_ALLOWED, *_RANGES, *_ORDERS, *_BOUNDS, *_LENGTHS]))
+_READABLE = [
+    _rule(t, "readable", c, f"NOT {sentinel(c, schemas.VALUE_SENTINELS)} AND {read(c)} IS NULL").replace("bad_clean_", "bad_raw_")
+    for columns, read in ((schemas.READ_AS_DATE, to_date), (schemas.READ_AS_TIME, to_ts)) for t, cs in columns.items() for c in cs
+]
+
+
+@query("ct08_readable", union_all(_READABLE))
+def _(w):
+    """Dates and times that no accepted form reads; counted while the damaged tables were written."""
+    return gates.stored_rules(w.checks()).where("rule_kind = 'readable'")
+
+
+@query("ct09_gate_counts", union_all([*_NOT_NULL, *_ALLOWED, *_RANGES, *_ORDERS, *_BOUNDS, *_LENGTHS, *_READABLE]))
 def _(w):
     """Every row rule, as counted while the damaged tables were written: no table is read again."""
     return gates.stored_rules(w.checks())

@@ -21,6 +21,11 @@ def exact_dedupe(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
+def exact_dedupe_marked(df: DataFrame, marks: str) -> DataFrame:
+    """One copy of every row that is identical but for its marks, with the marks of all copies (bits of a number)."""
+    return df.groupBy(*[c for c in df.columns if c != marks]).agg(F.bit_or(marks).alias(marks))
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys held by more than one row, with the count and the surplus."""
     return (

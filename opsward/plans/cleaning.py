@@ -2,14 +2,16 @@
 
 Each cleaner normalises and parses in narrow projections, resolves parent keys with one left join
 per relationship, derives the quality flags in the same projection, and removes exact copies of
-the finished row at the end, so raw rows that differ only in an unusable value become one.
+the finished row at the end, so raw rows that differ only in an unusable value become one. The last column
+marks dates and times that could not be read; rules see it, the clean tables do not hold it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -30,13 +32,33 @@ from ..functions import (
     trimmed,
 )
 from ..operators.joins import Store, map_by_table, resolve_fk
-from ..operators.keys import exact_dedupe
+from ..operators.keys import exact_dedupe, exact_dedupe_marked
 from ..schemas import Domain
 
 # Department names kept in capitals; fixed value.
 NAME_EXCEPTIONS = {"ent": "ENT"}
 
 
+#: Which dates and times of a row no form could read, one bit for each in the order of READ_FROM_TEXT.
+UNREADABLE = "unreadable"
+
+
+def unreadable(parsed: Mapping[str, Column]) -> Column:
+    """The bits of the raw columns that hold a value, but none that was read."""
+    bits = [
+        F.when(~is_sentinel(F.col(raw), schemas.VALUE_SENTINELS) & value.isNull(), 1 << i).otherwise(0)
+        for i, (raw, value) in enumerate(parsed.items())
+    ]
+    return reduce(Column.__add__, bits).alias(UNREADABLE)
+
+
+def read_dates(table: str, domain: Domain) -> dict[str, Column]:
+    """The date and time columns of a raw table, read by the domain's forms."""
+    dates, times = domain.date_formats, (*domain.time_formats, *domain.date_formats)
+    found = {c: parse_date(F.col(c), dates) for c in schemas.READ_AS_DATE.get(table, ())}
+    return found | {c: parse_timestamp(F.col(c), times) for c in schemas.READ_AS_TIME.get(table, ())}
+
+
 def _values(names: tuple[str, ...]) -> dict[str, str]:
     return {n.lower(): n for n in names}
 
@@ -70,7 +92,8 @@ def clean_departments(raw: DataFrame) -> DataFrame:
 
 def clean_patients(raw: DataFrame, mappings: DataFrame, domain: Domain) -> DataFrame:
     born = F.col("date_of_birth")
-    valid_birth = parse_date_in_range(born, schemas.FIRST_VALID_BIRTH_DATE, domain.snapshot)
+    valid_birth = parse_date_in_range(born, schemas.FIRST_VALID_BIRTH_DATE, domain.snapshot, domain.date_formats)
+    read = read_dates("patients", domain)
     no_ethnicity = is_sentinel(F.col("ethnicity"), schemas.VALUE_SENTINELS)
     typed = raw.select(
         norm_id(F.col("patient_id")).alias("patient_id"),
@@ -79,33 +102,36 @@ def clean_patients(raw: DataFrame, mappings: DataFrame, domain: Domain) -> DataF
         F.when(~no_ethnicity, initcap_words(F.btrim(F.col("ethnicity")))).alias("ethnicity"),
         norm_label(F.col("city")).alias("city"),
         parse_score(F.col("deprivation_quintile")).alias("deprivation_quintile"),
-        parse_date(F.col("enrolment_date")).alias("enrolment_date"),
+        read["enrolment_date"].alias("enrolment_date"),
         no_ethnicity.alias("ethnicity_missing_flag"),
+        unreadable(read),
     ).withColumns(
         {
             "date_of_birth_issue_flag": F.col("date_of_birth").isNull(),
             "deprivation_quintile_issue_flag": F.col("deprivation_quintile").isNull(),
         }
     )
-    mapped = map_by_table(exact_dedupe(typed), "gender_key", mappings, "gender", "gender")
+    mapped = map_by_table(exact_dedupe_marked(typed, UNREADABLE), "gender_key", mappings, "gender", "gender")
     return mapped.select(
         "patient_id", "date_of_birth", "gender", "ethnicity", "city", "deprivation_quintile", "enrolment_date",
-        *schemas.QUALITY_FLAGS["patients"],
+        *schemas.QUALITY_FLAGS["patients"], UNREADABLE,
     )
 
 
 def clean_referrals(
-    raw: DataFrame, patients: DataFrame, departments: DataFrame, mappings: DataFrame, store: Store | None = None
+    raw: DataFrame, patients: DataFrame, departments: DataFrame, mappings: DataFrame, domain: Domain = Domain(), store: Store | None = None
 ) -> DataFrame:
+    read = read_dates("referrals", domain)
     prepared = raw.select(
         norm_id(F.col("referral_id")).alias("referral_id"),
         norm_id(F.col("patient_id")).alias("patient_key"),
         norm_id(F.col("department_id")).alias("department_key"),
-        parse_date(F.col("referral_date")).alias("referral_date"),
+        read["referral_date"].alias("referral_date"),
         map_values(F.col("urgency"), _values(schemas.URGENCIES)).alias("urgency"),
         norm_key(F.col("referral_status")).alias("status_key"),
-        parse_date(F.col("first_appointment_date")).alias("first_seen"),
-        parse_date(F.col("closed_date")).alias("closed"),
+        read["first_appointment_date"].alias("first_seen"),
+        read["closed_date"].alias("closed"),
+        unreadable(read),
         norm_label(F.col("referral_source")).alias("referral_source"),
         parse_score(F.col("priority_score")).alias("priority_score"),
     )
@@ -127,8 +153,9 @@ def clean_referrals(
             (F.col("first_seen").isNotNull() & (F.col("first_seen") < start))
             | (F.col("closed").isNotNull() & (F.col("closed") < start))
         ).alias("timeline_issue_flag"),
+        UNREADABLE,
     )
-    return exact_dedupe(finished)
+    return exact_dedupe_marked(finished, UNREADABLE)
 
 
 def clean_appointments(
@@ -137,16 +164,19 @@ def clean_appointments(
     departments: DataFrame,
     referrals: DataFrame,
     mappings: DataFrame,
+    domain: Domain = Domain(),
     store: Store | None = None,
 ) -> DataFrame:
+    read = read_dates("appointments", domain)
     prepared = raw.select(
         norm_id(F.col("appointment_id")).alias("appointment_id"),
         norm_id(F.col("patient_id")).alias("patient_key"),
         norm_id(F.col("department_id")).alias("department_key"),
         norm_id(F.col("referral_id")).alias("referral_key"),
-        parse_timestamp(F.col("scheduled_datetime")).alias("scheduled_datetime"),
-        parse_timestamp(F.col("check_in_time")).alias("check_in_time"),
-        parse_timestamp(F.col("seen_time")).alias("seen"),
+        read["scheduled_datetime"].alias("scheduled_datetime"),
+        read["check_in_time"].alias("check_in_time"),
+        read["seen_time"].alias("seen"),
+        unreadable(read),
         norm_key(F.col("appointment_status")).alias("status_key"),
         map_values(F.col("appointment_type"), _values(schemas.APPOINTMENT_TYPES)).alias("appointment_type"),
         map_values(F.col("booking_channel"), _values(schemas.BOOKING_CHANNELS)).alias("booking_channel"),
@@ -170,20 +200,23 @@ def clean_appointments(
             (F.col("appointment_status") == "Completed") & (arrived.isNull() | seen.isNull() | reversed_times)
         ).alias("status_timestamp_issue_flag"),
         reversed_times.alias("timeline_issue_flag"),
+        UNREADABLE,
     )
-    return exact_dedupe(finished)
+    return exact_dedupe_marked(finished, UNREADABLE)
 
 
 def clean_ed_visits(
-    raw: DataFrame, patients: DataFrame, facilities: DataFrame, store: Store | None = None
+    raw: DataFrame, patients: DataFrame, facilities: DataFrame, domain: Domain = Domain(), store: Store | None = None
 ) -> DataFrame:
+    read = read_dates("ed_visits", domain)
     prepared = raw.select(
         norm_id(F.col("visit_id")).alias("visit_id"),
         norm_id(F.col("patient_id")).alias("patient_key"),
         norm_id(F.col("facility_id")).alias("facility_key"),
-        parse_timestamp(F.col("arrival_time")).alias("arrival_time"),
+        read["arrival_time"].alias("arrival_time"),
         parse_score(trimmed(F.col("triage_category"))).alias("triage_category"),
-        parse_timestamp(F.col("discharge_time")).alias("left_at"),
+        read["discharge_time"].alias("left_at"),
+        unreadable(read),
         map_values(F.col("disposition"), _values(schemas.DISPOSITIONS)).alias("disposition"),
         map_values(F.col("admitted_flag"), schemas.YES_NO).alias("admitted_flag"),
         map_values(F.col("presenting_group"), _values(schemas.PRESENTING_GROUPS)).alias("presenting_group"),
@@ -201,8 +234,9 @@ def clean_ed_visits(
         (left_at.isNull() & (F.col("disposition") != "Left Before Treatment")).alias("missing_discharge_time_flag"),
         flag(left_at < arrival).alias("timeline_issue_flag"),
         F.coalesce(admitted != F.col("admitted_flag"), F.lit(True)).alias("admission_consistency_issue_flag"),
+        UNREADABLE,
     )
-    return exact_dedupe(finished)
+    return exact_dedupe_marked(finished, UNREADABLE)
 
 
 def clean_table(
@@ -217,11 +251,11 @@ def clean_table(
         return clean_patients(raw, clean["reference_mappings"], domain)
     parents = [clean[name] for name in PARENTS[table]]
     if table == "referrals":
-        return clean_referrals(raw, *parents, store=store)
+        return clean_referrals(raw, *parents, domain, store=store)
     if table == "appointments":
-        return clean_appointments(raw, *parents, store=store)
+        return clean_appointments(raw, *parents, domain, store=store)
     if table == "ed_visits":
-        return clean_ed_visits(raw, *parents, store=store)
+        return clean_ed_visits(raw, *parents, domain, store=store)
     raise KeyError(table)
 
 

@@ -13,6 +13,7 @@ from .. import schemas
 from ..operators.keys import split_conflicts
 from ..operators.stacking import count_rules
 from ..schemas import Domain
+from .cleaning import UNREADABLE
 
 
 class RuleViolation(ValueError):
@@ -86,6 +87,15 @@ def length_rules() -> list[Rule]:
     ]
 
 
+def readable_rules() -> list[Rule]:
+    """Rules on a cleaned frame that still has its marks: a date or time that stood there was read."""
+    return [
+        Rule(table, "readable", column, F.col(UNREADABLE).bitwiseAND(F.lit(1 << i)) != 0)
+        for table, columns in schemas.READ_FROM_TEXT.items()
+        for i, column in enumerate(columns)
+    ]
+
+
 def row_rules(domain: Domain) -> list[Rule]:
     return [
         *not_null_rules(), *domain_rules(domain), *range_rules(), *order_rules(), *date_bound_rules(domain),

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..operators.keys import duplicate_keys, split_conflicts
 from ..sources.layers import VERDICT, Layers, typed
-from .constraints import Rule, RuleViolation
+from .cleaning import UNREADABLE
+from .constraints import Rule, RuleViolation, readable_rules
 
 BROKEN = "broken_rules"
 SOUND, REJECTED = "sound", "rejected"
@@ -50,9 +51,10 @@ def write_gated(
     order: Sequence[Column] = (), layer: str = "clean",
 ) -> Gated:
     """Write a cleaned table once, counted and split by verdict, range-partitioned and sorted by ``order`` if given."""
-    own = [r for r in rules if r.table == table]
+    marks = [c for c in df.columns if c == UNREADABLE]
+    own = [r for r in (*rules, *(readable_rules() if marks else ())) if r.table == table]
     broken = F.array_compact(F.array(*[F.when(r.broken, F.lit(f"{r.kind}: {r.name}")) for r in own]))
-    marked = typed(table, df).withColumn(BROKEN, broken if quarantine else F.lit(None).cast("array<string>"))
+    marked = typed(table, df, marks).withColumn(BROKEN, broken if quarantine else F.lit(None).cast("array<string>"))
     marked = marked.withColumn(VERDICT, F.when(F.size(BROKEN) > 0, REJECTED).otherwise(SOUND))
     marked = marked.withColumn(BROKEN, F.when(F.col(VERDICT) == REJECTED, F.col(BROKEN)))
     if order:
@@ -61,7 +63,7 @@ def write_gated(
     sound = F.col(VERDICT) == SOUND
     columns = [F.count_if(p).alias(f"found_{i}") for i, p in enumerate(counted.values())]
     columns += [F.count_if(p & sound).alias(f"left_{i}") for i, p in enumerate(counted.values())]
-    observed = marked.observe(seen, *columns).sortWithinPartitions(VERDICT, *order)
+    observed = marked.observe(seen, *columns).drop(*marks).sortWithinPartitions(VERDICT, *order)
     observed.write.mode("overwrite").partitionBy(VERDICT).parquet(layers.root(layer, table))
     numbers = seen.get
     found, left = ({k: numbers[f"{side}_{i}"] for i, k in enumerate(counted)} for side in ("found", "left"))

@@ -156,9 +156,11 @@ def positive_numbers(raw: Raw, columns: Mapping[str, Sequence[str]] = POSITIVE_C
     return _issue_counts(_union([unpivot_text(raw[t], _raw_name(t), cols) for t, cols in columns.items()]), issue)
 
 
-def birth_date_issues(patients: DataFrame, earliest: dt.date = schemas.FIRST_VALID_BIRTH_DATE) -> DataFrame:
+def birth_date_issues(
+    patients: DataFrame, earliest: dt.date = schemas.FIRST_VALID_BIRTH_DATE, domain: Domain = Domain()
+) -> DataFrame:
     born = F.col("date_of_birth")
-    parsed = parse_date(born)
+    parsed = parse_date(born, domain.date_formats)
     issue = (
         F.when(is_sentinel(born, schemas.VALUE_SENTINELS), "Missing or sentinel date")
         .when(parsed.isNull(), "Invalid date format")
@@ -199,9 +201,11 @@ def issue_summary(df: DataFrame, table: str, record: str, issues: Mapping[str, C
     ).select(F.lit(_raw_name(table)).alias("table_name"), "issue_type", "affected_rows", "affected_unique_records")
 
 
-def impossible_timelines(raw: Raw) -> DataFrame:
+def impossible_timelines(raw: Raw, domain: Domain = Domain()) -> DataFrame:
+    formats = {parse_date: domain.date_formats, parse_timestamp: (*domain.time_formats, *domain.date_formats)}
+
     def before(parse, later: str, earlier: str) -> Column:
-        return parse(F.col(later)) < parse(F.col(earlier))
+        return parse(F.col(later), formats[parse]) < parse(F.col(earlier), formats[parse])
 
     rules = {
         "patients": {"Enrolment before date of birth": before(parse_date, "enrolment_date", "date_of_birth")},

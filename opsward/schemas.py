@@ -126,6 +126,13 @@ NULLABLE = {
     "ed_visits": {"patient_id", "facility_id", "triage_category", "discharge_time"},
 }
 
+# Dates and times that are read from text; a value that no form reads breaks a rule. Births have a flag of their own.
+READ_AS_DATE = {"patients": ("enrolment_date",), "referrals": ("referral_date", "first_appointment_date", "closed_date")}
+READ_AS_TIME = {
+    "appointments": ("scheduled_datetime", "check_in_time", "seen_time"), "ed_visits": ("arrival_time", "discharge_time"),
+}
+READ_FROM_TEXT = READ_AS_DATE | READ_AS_TIME
+
 # Text widths of the clean layer; fixed values.
 MAX_LENGTHS = {
     "facilities": {
@@ -166,6 +173,9 @@ class Domain:
     snapshot: dt.date = dt.date(2026, 8, 1)
     regions: tuple[str, ...] = ("Northern", "Midland", "Central", "Southern")
     return_window_hours: int = 7 * 24
+    #: Forms of dates and times beside ISO text, tried in this order; a time may also be a date alone.
+    date_formats: tuple[str, ...] = ("yyyyMMdd", "yyyy/M/d", "d MMM yyyy", "MMM d, yyyy")
+    time_formats: tuple[str, ...] = ("yyyyMMdd HH:mm:ss", "yyyy/M/d HH:mm:ss", "d MMM yyyy HH:mm:ss", "d MMM yyyy HH:mm")
     id_patterns: dict[str, str] = field(default_factory=lambda: {
         "facilities": "F[0-9]{3}", "departments": "D[0-9]{3}", "patients": "P[0-9]{6}",
         "referrals": "R[0-9]{7}", "appointments": "A[0-9]{7}", "ed_visits": "V[0-9]{7}",

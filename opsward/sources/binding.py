@@ -221,6 +221,8 @@ DAMAGED_ROWS: dict[str, list[tuple[str | None, ...]]] = {
         ("P0000001", "1970-01-01", "female", "Asian", "city 5", "2", "1999-01-01"),
         ("P9000001", "1970-01-01", "female", "Asian", "c" * 61, "2", "1999-01-01"),
         ("P9000002", None, "female", "Asian", None, "2", "2031-01-01"),
+        ("P9000003", "19700301", "female", "Asian", "city 6", "2", "1 Mar 1999"),
+        ("P9000004", "Mar 5, 1971", "male", "Asian", "city 7", "2", "in spring"),
     ],
     "referrals": [
         ("", "P0000001", "D000001", "2000-01-01", "urgent", "open", None, None, "gp", "3"),
@@ -228,16 +230,23 @@ DAMAGED_ROWS: dict[str, list[tuple[str | None, ...]]] = {
         ("R12", None, "D000001", "2000-01-01", "urgent", "open", None, None, "gp", "x"),
         ("R0000002", "P0000003", "D000002", "2000-02-30", "asap", "lost", None, None, None, "2"),
         ("R9000001", "P0000005", "D000003", None, "routine", "waiting", "2000-01-05", None, "s" * 41, "1"),
+        ("R9000002", "P0000005", "D000003", "20000301", "routine", "completed", "5 Mar 2000", "2000/3/9", "gp", "1"),
+        ("R9000003", "P0000005", "D000003", " 1 Mar 2000 ", "routine", "waiting", "soon", "31 Feb 2000", "gp", "1"),
+        ("R9000004", "P0000005", "D000003", "Mar 1, 2000", "routine", "waiting", "unknown", "n/a", "gp", "1"),
     ],
     "appointments": [
         ("", "P0000001", "D000001", "", "2000-01-01 09:00:00", None, None, "scheduled", "procedure", "phone"),
         ("X12", "P0000001", "D000001", "", None, None, None, "vanished", "checkup", "fax"),
         ("A00000011", "P0000002", None, "", "2000-01-01 09:00:00", None, None, "scheduled", "procedure", "phone"),
+        ("A90000001", "P0000002", "D000001", "", "20000301 09:00:00", "1 Mar 2000 08:55", "1 Mar 2000 09:10:30", "completed", "procedure", "phone"),
+        ("A90000002", "P0000002", "D000001", "", "2000/3/1", "at noon", "25:00", "completed", "procedure", "phone"),
     ],
     "ed_visits": [
         ("", "P0000001", "F001", "2000-01-01 09:00:00", "3", "2000-01-01 10:00:00", "discharged", "no", "injury"),
         ("V12", "P0000001", "F001", None, "x", None, None, "maybe", "aliens"),
         ("V0000001", None, "F002", "2000-01-01 09:00:00", "na", "2000-01-01 08:00:00", "admitted", "yes", "other"),
+        ("V9000001", "P0000001", "F002", "1 Mar 2000 09:00", "3", "20000301 10:30:00", "discharged", "no", "other"),
+        ("V9000002", "P0000001", "F002", "2000-03-01T09:00", "3", "later", "discharged", "no", "other"),
     ],
 }
 

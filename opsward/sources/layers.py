@@ -36,10 +36,10 @@ def read_raw(spark: SparkSession, path: str, table: str) -> DataFrame:
 VERDICT = "verdict"
 
 
-def typed(table: str, df: DataFrame) -> DataFrame:
-    """The columns of a clean table in their declared types."""
+def typed(table: str, df: DataFrame, marks: Sequence[str] = ()) -> DataFrame:
+    """The columns of a clean table in their declared types, and marks that rules still need."""
     fields = [part.strip().split(" ") for part in schemas.CLEAN_DDL[table].split(",")]
-    return df.select(*[F.col(name).cast(kind) for name, kind in fields])
+    return df.select(*[F.col(name).cast(kind) for name, kind in fields], *marks)
 
 
 class Layers:
