@@ -29,9 +29,9 @@ def union(parts) -> DataFrame:
 
 # Sources and sinks
 
-@query("src01_read_raw", "SELECT * FROM raw_referrals")
+@query("src01_read_raw", "SELECT * FROM csv_referrals")
 def _(w):
-    """Written as CSV with a header, read back as text; blanks and empty fields survive."""
+    """Written as CSV with a header, read back as text; blanks, empty fields, quotes, commas, backslashes and line breaks survive."""
     return w.csv["referrals"]
 
 

@@ -10,7 +10,7 @@ import re
 
 from .. import schemas
 from ..plans.mappings import mapping_rules
-from ..sources.binding import BOUND_DOMAIN, DAMAGED_ROWS, LINE_ORDER
+from ..sources.binding import AWKWARD_TEXTS, BOUND_DOMAIN, DAMAGED_ROWS, LINE_ORDER
 
 SNAPSHOT = f"DATE '{BOUND_DOMAIN.snapshot}'"
 
@@ -196,6 +196,10 @@ for _t in schemas.TABLES:
     _rows = ", ".join("(" + ", ".join(f"{_sql_value(v)}::VARCHAR" for v in r) + ")" for r in DAMAGED_ROWS[_t])
     _BLOCKS[f"bad_raw_{_t}"] = f"SELECT * FROM raw_{_t} UNION ALL VALUES {_rows}"
 
+    _quoted = [(f"Q{i}", text, *[None] * (len(schemas.RAW_COLUMNS[_t]) - 2)) for i, text in enumerate(AWKWARD_TEXTS)]
+    _rows = ", ".join("(" + ", ".join(f"{_sql_value(v)}::VARCHAR" for v in r) + ")" for r in _quoted)
+    _BLOCKS[f"csv_{_t}"] = f"SELECT * FROM raw_{_t} UNION ALL VALUES {_rows}"
+
 _pairs = [(g, r, s) for g, values in mapping_rules(BOUND_DOMAIN).items() for r, s in values.items()]
 _BLOCKS["mappings"] = (
     "SELECT * FROM (VALUES " + ", ".join(f"('{g}', '{r}', '{s}')" for g, r, s in _pairs)

@@ -72,12 +72,12 @@ class Workspace:
         return self.layers.write("raw", name, binding.BINDINGS[name](self.spark, self.sf_dir))
 
     def _build_csv(self, name: str) -> DataFrame:
-        """The raw table as it would arrive: CSV files with a header."""
+        """The raw table as it would arrive: CSV files with a header, quotes, commas, backslashes and line breaks in values."""
         path = f"{self.layers.base_path}/landing/{name}"
-        self.raw[name].write.mode("overwrite").options(
+        self.raw[name].unionByName(binding.awkward_rows(self.spark, name)).write.mode("overwrite").options(
             header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
         ).csv(path)
-        return read_raw(self.spark, path, name)
+        return read_raw(self.spark, path, name, multiline=True)
 
     def _build_clustered(self, name: str) -> DataFrame:
         return self.layers.write("analytics", f"{name}_clustered", layout(self.clean[name], *LAYOUTS[name]))

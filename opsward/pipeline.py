@@ -31,9 +31,9 @@ from .sources.layers import LAYOUTS, Layers, layout_order, load_raw
 MODES = ("raise", "quarantine", "report")
 
 
-def load(layers: Layers, csv_dir: str) -> dict[str, DataFrame]:
-    """Full refresh of the raw layer from ``<table>_raw.csv`` files."""
-    return {t: load_raw(layers, f"{csv_dir.rstrip('/')}/{t}_raw.csv", t) for t in schemas.TABLES}
+def load(layers: Layers, csv_dir: str, multiline: bool = False, on_broken: str = "raise") -> dict[str, DataFrame]:
+    """Full refresh of the raw layer from ``<table>_raw.csv`` files (or folders of files)."""
+    return {t: load_raw(layers, f"{csv_dir.rstrip('/')}/{t}_raw.csv", t, multiline, on_broken) for t in schemas.TABLES}
 
 
 def build_clean(

@@ -254,3 +254,13 @@ DAMAGED_ROWS: dict[str, list[tuple[str | None, ...]]] = {
 def damaged_rows(spark: SparkSession, name: str) -> DataFrame:
     columns = [pa.array(list(values), pa.string()) for values in zip(*DAMAGED_ROWS[name])]
     return spark.createDataFrame(pa.table(columns, names=schemas.RAW_COLUMNS[name]))
+
+
+#: Text that a careless CSV reader changes, put into the second column of a row that is otherwise empty; fixed values.
+AWKWARD_TEXTS = ('a "quoted" word', "one, two", "back\\slash", "\\", 'line\nbreak, "both"', " kept ", "''")
+
+
+def awkward_rows(spark: SparkSession, name: str) -> DataFrame:
+    columns = schemas.RAW_COLUMNS[name]
+    rows = [[f"Q{i}", text] + [None] * (len(columns) - 2) for i, text in enumerate(AWKWARD_TEXTS)]
+    return spark.createDataFrame(pa.table([pa.array(list(v), pa.string()) for v in zip(*rows)], names=columns))

@@ -6,28 +6,47 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import schemas
 from ..operators.keys import assert_unique
 
 
-def read_raw(spark: SparkSession, path: str, table: str) -> DataFrame:
+#: Holds a line that is no record of its table, in a frame that may have such lines.
+BROKEN_LINE = "broken_line"
+
+
+class MalformedInput(ValueError):
+    pass
+
+
+def read_raw(spark: SparkSession, path: str, table: str, multiline: bool = False, keep_broken: bool = False) -> DataFrame:
     """CSV exactly as received: header row, UTF-8 (a byte-order mark is ignored), all text.
 
+    The header has to name the table's columns in their order. A record with more or fewer values is an error, or,
+    with ``keep_broken``, a row whose last column ``broken_line`` holds its text. With ``multiline`` a quoted value may
+    hold line breaks; a file is then one task, so large deliveries should come as many files. Without it such a record
+    reads as broken lines.
+
     Blanks inside values are kept; an empty unquoted field is NULL and a quoted one stays empty text.
     The NUL character stands for "no value" because Spark would otherwise read both as NULL.
     A quote inside a quoted value is doubled; a backslash is a character like any other.
     """
+    schema = schemas.raw_schema(table)
+    if keep_broken:
+        schema = StructType([*schema, StructField(BROKEN_LINE, StringType())])
     return (
-        spark.read.schema(schemas.raw_schema(table))
+        spark.read.schema(schema)
         .option("header", True)
         .option("encoding", "UTF-8")
-        .option("enforceSchema", True)
+        .option("enforceSchema", False)
         .option("nullValue", "\u0000")
         .option("escape", '"')
-        .option("mode", "FAILFAST")
+        .option("multiLine", multiline)
+        .option("mode", "PERMISSIVE" if keep_broken else "FAILFAST")
+        .option("columnNameOfCorruptRecord", BROKEN_LINE)
         .csv(path)
     )
 
@@ -47,7 +66,7 @@ class Layers:
 
     NAMES = ("raw", "clean", "analytics")
     TYPED = ("clean", "clean_staged", "clean_damaged")
-    GATED = ("clean", "clean_damaged")
+    GATED = ("raw", "clean", "clean_damaged")
 
     def __init__(self, spark: SparkSession, base_path: str):
         self.spark = spark
@@ -104,9 +123,31 @@ class Layers:
         return reader.parquet(self.path(layer, table))
 
 
-def load_raw(layers: Layers, csv_path: str, table: str) -> DataFrame:
-    """Full refresh of a raw table from its CSV file."""
-    return layers.write("raw", table, read_raw(layers.spark, csv_path, table))
+def load_raw(layers: Layers, csv_path: str, table: str, multiline: bool = False, on_broken: str = "raise") -> DataFrame:
+    """Full refresh of a raw table from its CSV file, in one pass.
+
+    Lines that are no record of the table stop the load, or go to ``raw_rejected`` with ``on_broken="quarantine"``.
+    """
+    if on_broken not in ("raise", "quarantine"):
+        raise ValueError("on_broken must be raise or quarantine")
+    seen = Observation(f"raw_{table}")
+    broken = F.col(BROKEN_LINE).isNotNull()
+    lines = read_raw(layers.spark, csv_path, table, multiline, keep_broken=True)
+    counted = lines.observe(seen, F.count_if(broken).alias("broken"), F.count_if(~broken).alias("sound"))
+    verdict = F.when(broken, "rejected").otherwise("sound")
+    counted.withColumn(VERDICT, verdict).write.mode("overwrite").partitionBy(VERDICT).parquet(layers.root("raw", table))
+    if seen.get["broken"] and on_broken == "raise":
+        raise MalformedInput(f"{csv_path}: {seen.get['broken']} lines are no records of {table}")
+    if not seen.get["sound"]:
+        layers.write("raw", table, layers.spark.createDataFrame([], schemas.raw_schema(table)))
+    return layers.read("raw", table)
+
+
+def broken_lines(layers: Layers, table: str) -> DataFrame:
+    """The lines that the last load of a table set aside."""
+    if not layers.exists("raw_rejected", table):
+        return layers.spark.createDataFrame([], f"{BROKEN_LINE} string")
+    return layers.read("raw_rejected", table).select(BROKEN_LINE)
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

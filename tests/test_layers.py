@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from opsward import schemas
-from opsward.sources.layers import Layers, layout, load_raw, preview, read_raw, refresh_stats, row_counts
+from opsward.sources.layers import Layers, MalformedInput, broken_lines, layout, load_raw, preview, read_raw, refresh_stats, row_counts
 from opsward.plans import mappings
 
 
@@ -33,6 +33,45 @@ def test_read_raw_takes_doubled_quotes_and_backslashes(spark, tmp_path):
     assert list(read_raw(spark, str(path), "facilities").first()) == values
 
 
+def _csv(path, header, *lines):
+    path.write_text("\n".join([",".join(header), *lines]) + "\n", encoding="utf-8")
+    return str(path)
+
+
+def test_headers_are_a_contract(spark, tmp_path):
+    columns = schemas.raw_schema("facilities").names
+    line = ",".join("abcdef")
+    assert read_raw(spark, _csv(tmp_path / "right.csv", columns, line), "facilities").count() == 1
+    for name, header in {"swapped": [columns[1], columns[0], *columns[2:]], "short": columns[:-1], "other": ["x", *columns[1:]]}.items():
+        with pytest.raises(Exception, match="(?i)header"):
+            read_raw(spark, _csv(tmp_path / f"{name}.csv", header, line), "facilities").collect()
+
+
+@pytest.mark.parametrize("multiline", [False, True])
+def test_broken_lines_stop_the_load_or_are_set_aside(spark, tmp_path, multiline):
+    columns, layers = schemas.raw_schema("facilities").names, Layers(spark, str(tmp_path / "base"))
+    path = _csv(tmp_path / "f.csv", columns, "F1,a,b,c,d,1", "F2,too,few", "F3,a,b,c,d,3,too many", "F4,a,b,c,d,4")
+    with pytest.raises(MalformedInput, match="2 lines"):
+        load_raw(layers, path, "facilities", multiline)
+    stored = load_raw(layers, path, "facilities", multiline, on_broken="quarantine")
+    assert sorted(r.facility_id for r in stored.collect()) == ["F1", "F4"] and stored.columns == columns
+    assert sorted(r[0].strip() for r in broken_lines(layers, "facilities").collect()) == ["F2,too,few", "F3,a,b,c,d,3,too many"]
+    clean = _csv(tmp_path / "g.csv", columns, "F5,a,b,c,d,1")
+    assert load_raw(layers, clean, "facilities", multiline).count() == 1 and broken_lines(layers, "facilities").count() == 0
+    assert load_raw(layers, _csv(tmp_path / "h.csv", columns, "all,broken"), "facilities", multiline, "quarantine").count() == 0
+    with pytest.raises(ValueError):
+        load_raw(layers, clean, "facilities", on_broken="ignore")
+
+
+def test_line_breaks_inside_quotes(spark, tmp_path):
+    columns, layers = schemas.raw_schema("facilities").names, Layers(spark, str(tmp_path / "base"))
+    path = _csv(tmp_path / "f.csv", columns, 'F1,"two\nlines, ""quoted""",b,c,d,1', "F2,a,b,c,d,2")
+    rows = {r.facility_id: r.facility_name for r in load_raw(layers, path, "facilities", multiline=True).collect()}
+    assert rows == {"F1": 'two\nlines, "quoted"', "F2": "a"}
+    with pytest.raises(MalformedInput):
+        load_raw(layers, path, "facilities")
+
+
 def test_load_raw_twice_does_not_duplicate(spark, csv_file, tmp_path):
     layers = Layers(spark, str(tmp_path / "layers"))
     for _ in range(2):
