@@ -482,9 +482,21 @@ _region, (_from, _to) = _SLICE["hospital_region"], _SLICE["date"]
 _within_slice = f"hospital_region = '{_region}' AND {{}} BETWEEN DATE '{_from}' AND DATE '{_to}'"
 
 
-@query("sm05_sliced_kpis", union_all(_kpis(
-    _within_slice.format("referral_date") + " AND department_name = 'Cardiology'",
-    _within_slice.format("scheduled_date") + " AND department_name = 'Cardiology'", _within_slice.format("arrival_date"))))
+def _cards(referral_where: str = "TRUE", ed_where: str = "TRUE") -> list[str]:
+    oldest = "backlog_flag AND backlog_wait_band = 'Over 60 days'"
+    return [
+        _kpi("Backlog over 60 days %", "rate", _f(oldest), _f("backlog_flag"), "v_referral", referral_where),
+        _kpi("Total ED visits", "count", "count(*)", "count(*)", "v_ed", ed_where),
+    ]
+
+
+_of_referrals = _within_slice.format("referral_date") + " AND department_name = 'Cardiology'"
+_of_visits = _within_slice.format("arrival_date")
+
+
+@query("sm05_sliced_kpis", union_all([
+    *_kpis(_of_referrals, _within_slice.format("scheduled_date") + " AND department_name = 'Cardiology'", _of_visits),
+    _kpi("ED return %", "rate", _f("returned"), "count(previous_discharge_time)", "v_return", _of_visits), *_cards(_of_referrals, _of_visits)]))
 def _(w):
     return model.sliced_kpis(w.clean, w.domain, {**_SLICE, "department_name": "Cardiology"})
 
@@ -494,6 +506,27 @@ def _composition(column: str) -> str:
 FROM (SELECT {column}, {n()} AS c FROM v_ed GROUP BY 1)"""
 
 
+_DATES = {"v_referral": "referral_date", "v_appointment": "scheduled_date", "v_ed": "arrival_date"}
+
+
+def _at_level(level: str, columns: tuple[str, ...], statement: str) -> str:
+    view = next(v for v in _DATES if f"FROM {v} " in statement)
+    month = f"date_trunc('month', {_DATES[view]})::DATE"
+    shown = [f"{c if c in columns else 'NULL::VARCHAR'} AS {c}" for c in q.PLACE]
+    shown.append(f"{month if 'month_start' in columns else 'NULL::DATE'} AS month_start")
+    groups = ", ".join(month if c == "month_start" else c for c in columns)
+    return statement.replace("SELECT ", f"SELECT '{level}' AS level, {', '.join(shown)}, ", 1) + (f" GROUP BY {groups}" if groups else "")
+
+
+@query("sm08_kpis_by_level", union_all(
+    _at_level(level, columns, statement)
+    for level, columns in model.LEVELS.items() for statement in [*_kpis(), *_cards()]
+    if not ("department_name" in columns and "FROM v_ed " in statement)))
+def _(w):
+    """Every additive KPI for the network, regions, facilities, departments and months, from one scan of each fact."""
+    return model.kpis_by_level(w.clean, w.domain)
+
+
 @query("sm06_composition", union_all([_composition("disposition"), _composition("presenting_group")]))
 def _(w):
     return model.composition(w.clean, w.domain)

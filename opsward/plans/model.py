@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..functions import month_name, month_of, pct, ratio_avg_2dp
 from ..schemas import Domain
 from . import questions as q
@@ -22,12 +23,12 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
 
 # Dimensions and facts
 
-def dim_date(clean: Clean) -> DataFrame:
-    """One row per day from the first to the last activity."""
+def dim_date(clean: Clean, facts: Sequence[str] = tuple(ACTIVITY)) -> DataFrame:
+    """One row per day from the first to the last activity of the facts."""
     ends = _union(
         [
-            clean[t].agg(F.min(F.col(c).cast("date")).alias("a"), F.max(F.col(c).cast("date")).alias("b"))
-            for t, c in ACTIVITY.items()
+            clean[t].agg(F.min(c).cast("date").alias("a"), F.max(c).cast("date").alias("b"))
+            for t, c in ACTIVITY.items() if t in facts
         ]
     ).agg(F.min("a").alias("a"), F.max("b").alias("b"))
     days = ends.select(F.explode(F.sequence("a", "b", F.expr("INTERVAL 1 DAY"))).alias("date"))
@@ -68,11 +69,12 @@ def fact_ed_visits(clean: Clean, domain: Domain) -> DataFrame:
 def star_appointments(clean: Clean, domain: Domain) -> DataFrame:
     """Appointments by year, region and gender through all four dimensions.
 
-    Counted per patient, department and year first; the larger dimensions join the aggregated rows.
+    Counted per patient, department and year first; the larger dimensions join the aggregated rows. The days are
+    those of the appointments, so no other fact is read.
     """
     fact = appointment_view(clean, domain, ()).withColumn("date", F.col("scheduled_date"))
     joined = (
-        fact.join(dim_date(clean).select("date", "year"), "date", "left")
+        fact.join(dim_date(clean, ["appointments"]).select("date", "year"), "date", "left")
         .groupBy("patient_id", "department_id", "year")
         .agg(F.count("*").alias("appointments"), F.count_if("no_show_flag").alias("no_shows"))
         .join(dim_departments(clean).select("department_id", "facility_id"), "department_id", "left")
@@ -122,6 +124,19 @@ def _kpi_value(kind: str, numerator: Column, denominator: Column) -> Column:
     return numerator.cast("double")
 
 
+def _kpi_entries(kpis: Sequence[Kpi]) -> list[Column]:
+    """One row per KPI from the columns n0, d0, n1, d1 ... of its numerator and denominator."""
+    return [
+        F.struct(
+            F.lit(k.name).alias("kpi_name"),
+            F.coalesce(F.col(f"n{i}"), F.lit(0)).cast("decimal(28,2)").alias("numerator"),
+            F.col(f"d{i}").alias("denominator"),
+            _kpi_value(k.kind, F.col(f"n{i}"), F.col(f"d{i}")).alias("kpi_value"),
+        )
+        for i, k in enumerate(kpis)
+    ]
+
+
 def evaluate_kpis(facts: Mapping[str, DataFrame], kpis: Sequence[Kpi], by: Sequence[str] = ()) -> DataFrame:
     """(by..., kpi_name, numerator, denominator, kpi_value); every fact is aggregated once."""
     parts = []
@@ -130,15 +145,7 @@ def evaluate_kpis(facts: Mapping[str, DataFrame], kpis: Sequence[Kpi], by: Seque
         aggregates = []
         for i, k in enumerate(own):
             aggregates += [k.numerator.alias(f"n{i}"), k.denominator.alias(f"d{i}")]
-        entries = [
-            F.struct(
-                F.lit(k.name).alias("kpi_name"),
-                F.coalesce(F.col(f"n{i}"), F.lit(0)).cast("decimal(28,2)").alias("numerator"),
-                F.col(f"d{i}").alias("denominator"),
-                _kpi_value(k.kind, F.col(f"n{i}"), F.col(f"d{i}")).alias("kpi_value"),
-            )
-            for i, k in enumerate(own)
-        ]
+        entries = _kpi_entries(own)
         grouped = facts[fact].groupBy(*by).agg(*aggregates) if by else facts[fact].agg(*aggregates)
         parts.append(grouped.select(*by, F.inline(F.array(*entries))))
     return _union(parts)
@@ -151,9 +158,7 @@ def all_kpis(clean: Clean, domain: Domain) -> DataFrame:
         "ed_visits": fact_ed_visits(clean, domain),
     }
     returns = q.visits_with_previous_discharge(clean)
-    sums = q.return_sums(domain)
-    again = Kpi("ED return %", "returns", "rate", sums["return_visits_in_window"], sums["visits_with_previous_discharge"])
-    return evaluate_kpis({**facts, "returns": returns}, [*kpi_catalogue(), again])
+    return evaluate_kpis({**facts, "returns": returns}, [*kpi_catalogue(), return_kpi(domain)])
 
 
 def _apply(df: DataFrame, filters: Mapping[str, object], without: frozenset[str] = frozenset()) -> DataFrame:
@@ -168,16 +173,81 @@ def _apply(df: DataFrame, filters: Mapping[str, object], without: frozenset[str]
     return df
 
 
+def fact_returns(clean: Clean, domain: Domain) -> DataFrame:
+    """Visits beside the discharge before them, with their place and date.
+
+    The visit before is looked for among all visits; filters come after it, or a slice would cut the history.
+    """
+    visits = q.visits_with_previous_discharge(clean).withColumn("date", F.col("arrival_time").cast("date"))
+    places = clean["facilities"].select("facility_id", "hospital_region", "facility_name")
+    return visits.join(places, "facility_id", "left")
+
+
+def return_kpi(domain: Domain) -> Kpi:
+    sums = q.return_sums(domain)
+    return Kpi("ED return %", "returns", "rate", sums["return_visits_in_window"], sums["visits_with_previous_discharge"])
+
+
+def cards() -> list[Kpi]:
+    """Further measures of the dashboard's pages."""
+    oldest = F.col("backlog_wait_band") == schemas.LAST_WAIT_BAND
+    return [
+        Kpi("Backlog over 60 days %", "referrals", "rate", F.count_if(F.col("backlog_flag") & oldest), F.count_if("backlog_flag")),
+        Kpi("Total ED visits", "ed_visits", "count", F.count("*"), F.count("*")),
+    ]
+
+
 def sliced_kpis(clean: Clean, domain: Domain, filters: Mapping[str, object]) -> DataFrame:
-    """KPIs under date, region, facility and department filters; the department does not touch ED visits."""
+    """The ten KPIs and the cards under date, region, facility and department filters.
+
+    The department does not touch ED visits. Filters on counted facts reach the scan.
+    """
     place = {"departments", "facilities"}
     facts = {
         "referrals": referral_view(clean, domain, place).withColumn("date", F.col("referral_date")),
         "appointments": appointment_view(clean, domain, place).withColumn("date", F.col("scheduled_date")),
         "ed_visits": ed_visit_view(clean, domain, {"facilities"}).withColumn("date", F.col("arrival_date")),
+        "returns": fact_returns(clean, domain),
     }
-    of_department = {"ed_visits": frozenset({"department_id", "department_name", "specialty_group"})}
-    return evaluate_kpis({name: _apply(df, filters, of_department.get(name, frozenset())) for name, df in facts.items()}, kpi_catalogue())
+    department = frozenset({"department_id", "department_name", "specialty_group"})
+    sliced = {name: _apply(df, filters, department if name in ("ed_visits", "returns") else frozenset()) for name, df in facts.items()}
+    return evaluate_kpis(sliced, [*kpi_catalogue(), return_kpi(domain), *cards()])
+
+
+#: What the measures are broken down by; ED visits have no department.
+LEVELS = {
+    "network": (), "region": ("hospital_region",), "facility": ("hospital_region", "facility_name"), "department": q.PLACE,
+    "month": ("month_start",), "region and month": ("hospital_region", "month_start"),
+}
+
+
+def kpis_by_level(clean: Clean, domain: Domain, levels: Mapping[str, Sequence[str]] = LEVELS) -> DataFrame:
+    """(level, place and month columns, kpi_name, numerator, denominator, kpi_value) of the additive KPIs.
+
+    Each fact is read once: it is counted per department or facility and month, the counts get their names, and
+    grouping sets add them up for all levels.
+    """
+    facilities = clean["facilities"].select("facility_id", "hospital_region", "facility_name")
+    sources = {
+        "referrals": (fact_referrals(clean, domain), "department_id", q.department_places(clean)),
+        "appointments": (fact_appointments(clean, domain), "department_id", q.department_places(clean)),
+        "ed_visits": (fact_ed_visits(clean, domain), "facility_id", facilities),
+    }
+    parts = []
+    for fact, (df, key, places) in sources.items():
+        own = [k for k in (*kpi_catalogue(), *cards()) if k.fact == fact]
+        sums = {f"n{i}": k.numerator for i, k in enumerate(own)} | {f"d{i}": k.denominator for i, k in enumerate(own)}
+        counted = df.groupBy(key, month_of(F.col("date")).alias("month_start")).agg(*[c.alias(n) for n, c in sums.items()])
+        named = counted.join(places, key, "left")
+        names = [c for c in (*q.PLACE, "month_start") if c in named.columns]
+        sets = {level: [c for c in columns if c in names] for level, columns in levels.items() if set(columns) <= set(names)}
+        grouping = {level: sum((c not in columns) << (len(names) - 1 - i) for i, c in enumerate(names)) for level, columns in sets.items()}
+        totals = named.groupingSets([[F.col(c) for c in columns] for columns in sets.values()], *names).agg(
+            F.grouping_id().alias("__level"), *[F.sum(n).alias(n) for n in sums]
+        )
+        level = F.create_map(*[x for name, number in grouping.items() for x in (F.lit(number).cast("long"), F.lit(name))])[F.col("__level")]
+        parts.append(totals.select(level.alias("level"), *names, F.inline(F.array(*_kpi_entries(own)))))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 MATRIX_SUMS = (
@@ -234,32 +304,43 @@ def composition(clean: Clean, domain: Domain) -> DataFrame:
 
 
 def reconcile_measures(clean: Clean, domain: Domain) -> DataFrame:
-    """Unfiltered measures against totals summed up from the published breakdowns."""
-    breakdowns = [
-        (q.backlog_by_department, {"Backlog referrals": "total_backlog", "Backlog over target %": "referrals_over_target"}),
-        (q.no_show_by_department, {"No-show rate %": "no_show_appointments"}),
-        (q.wait_target_by_department, {"Seen within target %": "appointments_within_target"}),
+    """Unfiltered measures against totals summed up from their breakdown by place.
+
+    A fact is read once. Its counts per department or facility are taken twice from there: as they are, and through
+    the joins with the names, where a missing or repeated parent would show.
+    """
+    waited = F.col("attendance_eligible_flag") & F.col("no_show_flag")
+    facilities = clean["facilities"].select("facility_id", "hospital_region", "facility_name")
+    sources = [
         (
-            q.admission_and_left,
-            {"Admission rate %": "admitted_visits", "Left before treatment %": "left_before_treatment_visits"},
+            fact_referrals(clean, domain), "department_id", q.department_places(clean),
+            {"Backlog referrals": F.count_if("backlog_flag"), "Backlog over target %": F.count_if("backlog_over_target_flag")},
         ),
-    ]
-    totals, names = [], set()
-    for question, columns in breakdowns:
-        names |= set(columns)
-        entries = [F.struct(F.lit(m).alias("measure_name"), F.col(c).alias("independent")) for m, c in columns.items()]
-        sums = question(clean, domain).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in columns.values()])
-        totals.append(sums.select(F.inline(F.array(*entries))))
-    facts = {
-        "referrals": fact_referrals(clean, domain), "appointments": fact_appointments(clean, domain),
-        "ed_visits": fact_ed_visits(clean, domain),
-    }
-    kpis = [k for k in kpi_catalogue() if k.name in names]
-    measured = (
-        evaluate_kpis(facts, kpis)
-        .select(F.col("kpi_name").alias("measure_name"), F.col("numerator").cast("long").alias("measured"))
-        .join(_union(totals), "measure_name", "full")
-    )
-    return measured.withColumn("difference", F.col("measured") - F.col("independent")).withColumn(
+        (
+            fact_appointments(clean, domain), "department_id", q.department_places(clean),
+            {"No-show rate %": F.count_if(waited), "Seen within target %": F.count_if("met_wait_target_flag")},
+        ),
+        (
+            fact_ed_visits(clean, domain), "facility_id", facilities,
+            {"Admission rate %": F.count_if("admitted_flag"), "Left before treatment %": F.count_if("left_before_treatment_flag")},
+        ),
+    ]
+    parts = []
+    for fact, key, places, measures in sources:
+        columns = {f"m{i}": name for i, name in enumerate(measures)}
+        counted = fact.groupBy(key).agg(*[c.alias(f"m{i}") for i, c in enumerate(measures.values())])
+        both = counted.withColumn("side", F.explode(F.array(F.lit("measured"), F.lit("independent"))))
+        named = both.join(
+            places.withColumnRenamed(key, "__key"), (F.col(key) == F.col("__key")) & (F.col("side") == "independent"), "left"
+        )
+        groups = [c for c in q.PLACE if c in places.columns]
+        breakdown = named.groupBy("side", *groups).agg(*[F.sum(c).alias(c) for c in columns])
+        sides = breakdown.groupBy().pivot("side", ["measured", "independent"]).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in columns])
+        entries = [
+            F.struct(F.lit(name).alias("measure_name"), F.col(f"measured_{c}").alias("measured"), F.col(f"independent_{c}").alias("independent"))
+            for c, name in columns.items()
+        ]
+        parts.append(sides.select(F.inline(F.array(*entries))))
+    return _union(parts).withColumn("difference", F.col("measured") - F.col("independent")).withColumn(
         "validation_status", F.when(F.col("measured").eqNullSafe(F.col("independent")), "PASS").otherwise("REVIEW")
     )
