@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from ..plans import metrics as m
 from ..plans import model
 from ..plans import questions as q
-from ..plans import views
+from ..plans import sketches, views
 from .oracle import avg2, n, n_if, pct, union_all
 from .registry import REGISTRY, query
 
@@ -370,6 +372,32 @@ def _(w):
     return m.wait_percentiles(w.clean, w.domain)
 
 
+_SINCE = dt.date(1996, 1, 1)
+
+
+def _sketched(measure: str, group: str, value: str, view: str, date: str) -> str:
+    return (
+        f"SELECT '{measure}' AS measure, {group} AS group_id, {n()} AS n, true AS median_is_close, true AS percentile_90_is_close"
+        f" FROM {view} WHERE {value} IS NOT NULL AND date_trunc('month', {date})::DATE >= DATE '{_SINCE}' GROUP BY 2"
+    )
+
+
+@query("dm12b_sketched_percentiles", union_all([
+    _sketched("waiting_minutes", "department_id", "wait_h", "v_appointment", "scheduled_date"),
+    _sketched("length_of_stay_hours", "facility_id", "stay_h", "v_ed", "arrival_date"),
+]))
+def _(w):
+    """Percentiles of some months from stored sketches, and whether their ranks lie within the stated bound."""
+    values = sketches.timed_values(w.clean, w.domain)
+    stored = w.layers.write("analytics", "wait_sketches", sketches.sketch(values))
+    since = F.col("month_start") >= F.lit(_SINCE)
+    found = sketches.percentiles(stored, where=since)
+    errors = sketches.rank_errors(values.where(since), found)
+    return errors.select(
+        "measure", "group_id", "n", *[(F.col(f"{q_}_error") <= sketches.RANK_ERROR).alias(f"{q_}_is_close") for q_ in sketches.QUANTILES]
+    )
+
+
 @query("dm13_missing_population", union_all([
     f"SELECT 'attendance-eligible appointments without quintile' AS population, {n()} AS records FROM v_appointment WHERE attendance_eligible_flag AND deprivation_quintile IS NULL",
     f"SELECT 'ED visits without facility' AS population, {n()} AS records FROM v_ed WHERE facility_id IS NULL",

@@ -7,9 +7,10 @@ split at run time.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import norm_id, trimmed
@@ -89,6 +90,35 @@ def orphan_counts(child: DataFrame, parent: DataFrame, child_key: str, parent_ke
     return keys.join(known, "orphan_id", "left_anti")
 
 
+def orphan_keys(
+    children: Mapping[str, DataFrame], parents: Mapping[str, DataFrame], relationships: Sequence[tuple[str, str, str]],
+    normal: Callable[[Column], Column],
+) -> DataFrame:
+    """(child_table, foreign_key_column, parent_table, orphan_id, affected_rows) for many relationships at once.
+
+    A child is read once for all its keys and a parent once for all its children. The children's rows are
+    counted per key where they are read, and the counts of all relationships are compared with all parents in one join.
+    NULL keys are no orphans.
+    """
+    parts = []
+    for child in dict.fromkeys(c for c, _, _ in relationships):
+        keys = [
+            F.struct(F.lit(key).alias("foreign_key_column"), F.lit(parent).alias("parent_table"), normal(F.col(key)).alias("orphan_id"))
+            for c, key, parent in relationships if c == child
+        ]
+        cells = children[child].select(F.inline(F.array(*keys))).where(F.col("orphan_id").isNotNull())
+        counted = cells.groupBy("foreign_key_column", "parent_table", "orphan_id").agg(F.count("*").alias("affected_rows"))
+        parts.append(counted.select(F.lit(child).alias("child_table"), "*"))
+    known = [
+        parents[parent].select(F.lit(parent).alias("parent_table"), normal(F.col(key)).alias("orphan_id"))
+        for key, parent in dict.fromkeys((key, parent) for _, key, parent in relationships)
+    ]
+    used, known = reduce(DataFrame.unionByName, parts), reduce(DataFrame.unionByName, known).distinct()
+    # Not an anti join: Spark would push it below the union and read the parents once for each child.
+    met = used.join(known.withColumn("__known", F.lit(True)), ["parent_table", "orphan_id"], "left")
+    return met.where(F.col("__known").isNull()).drop("__known")
+
+
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
     """Child rows with a non-blank key that no parent row has."""
     known = parent.select(norm_id(F.col(parent_key)).alias("__known"))

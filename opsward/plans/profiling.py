@@ -14,12 +14,13 @@ from ..functions import (
     bracketed,
     is_sentinel,
     matches,
+    norm_id,
     norm_key,
     parse_date,
     parse_timestamp,
     trimmed,
 )
-from ..operators.joins import orphan_counts
+from ..operators.joins import orphan_counts, orphan_keys
 from ..operators.stacking import unpivot_text
 from ..schemas import Domain
 
@@ -180,16 +181,11 @@ def missing_foreign_keys(raw: Raw, columns: Mapping[str, Sequence[str]] = REQUIR
 
 def orphan_foreign_keys(raw: Raw) -> DataFrame:
     """Keys without a parent row for all eight relationships, with the rows they affect."""
-    parts = []
-    for child, key, parent in schemas.RELATIONSHIPS:
-        found = orphan_counts(raw[child], raw[parent], key, key)
-        parts.append(
-            found.select(
-                F.lit(_raw_name(child)).alias("child_table"), F.lit(key).alias("foreign_key_column"),
-                F.lit(_raw_name(parent)).alias("expected_parent_table"), "orphan_id", "affected_rows",
-            )
-        )
-    return _union(parts)
+    found = orphan_keys(raw, raw, schemas.RELATIONSHIPS, norm_id)
+    return found.select(
+        F.concat("child_table", F.lit("_raw")).alias("child_table"), "foreign_key_column",
+        F.concat("parent_table", F.lit("_raw")).alias("expected_parent_table"), "orphan_id", "affected_rows",
+    )
 
 
 def issue_summary(df: DataFrame, table: str, record: str, issues: Mapping[str, Column]) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import pct
-from ..operators.joins import join_inflation
+from ..operators.joins import join_inflation, orphan_keys
 from ..operators.ordering import with_position
 from ..operators.stacking import count_rules
 from ..schemas import Domain
@@ -181,18 +181,13 @@ def flagged_rows(table: str, df: DataFrame) -> DataFrame:
 
 
 def referential_integrity(clean: Clean) -> DataFrame:
-    """Non-null keys without a parent, per relationship; keys are counted before the anti join."""
-    parts = []
-    for child, key, parent in schemas.RELATIONSHIPS:
-        used = clean[child].where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
-        lost = used.join(clean[parent].select(key), key, "left_anti")
-        parts.append(
-            lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("orphan_rows")).select(
-                F.lit(child).alias("child_table"), F.lit(key).alias("foreign_key_column"),
-                F.lit(parent).alias("parent_table"), "orphan_rows",
-            )
-        )
-    return _union(parts)
+    """Rows with a key that no parent has, for every relationship; each table is read once for each side it is on."""
+    tables = {t: clean[t] for t in schemas.TABLES}
+    lost = orphan_keys(tables, tables, schemas.RELATIONSHIPS, lambda key: key)
+    keys = ["child_table", "foreign_key_column", "parent_table"]
+    every = clean["facilities"].sparkSession.createDataFrame(schemas.RELATIONSHIPS, ", ".join(f"{k} string" for k in keys))
+    counted = lost.groupBy(*keys).agg(F.sum("affected_rows").alias("orphan_rows"))
+    return every.join(F.broadcast(counted), keys, "left").fillna(0, ["orphan_rows"])
 
 
 def cross_table_consistency(clean: Clean) -> DataFrame:
