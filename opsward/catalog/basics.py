@@ -109,8 +109,8 @@ _PATH_KEYS = {name: (p.table, p.key) for name, p in ACCESS_PATHS.items()}
 def _(w):
     """Rows and keys of every access path, and rows in another bucket than their key's hash says."""
     return union(
-        w.clean[name].every().agg(F.count("*").alias("stored_rows"), F.count_distinct(key_).alias("keys"))
-        .crossJoin(w.clean[name].misplaced().agg(F.count("*").alias("misplaced_rows")))
+        w.clean[name].placed()
+        .agg(F.count("*").alias("stored_rows"), F.count_distinct(key_).alias("keys"), F.count_if("misplaced").alias("misplaced_rows"))
         .select(F.lit(name).alias("access_path"), "*")
         for name, (_, key_) in _PATH_KEYS.items()
     )

@@ -3,7 +3,8 @@
 The layers are written once per application as Parquet tables in the shared folder and read back
 by every query, so a question costs one scan instead of the whole cleaning pipeline, lost
 executors only repeat a scan, and Spark knows the exact size of every table it may broadcast.
-The folder is removed when the application ends. A cluster has to name one in ``spark.checkpoint.dir``.
+The folder is removed when the application ends. A cluster has to name one in ``spark.checkpoint.dir``; only under a
+local master may everything stay lazy, without access paths and stored counts.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from ..plans.mappings import build_mappings
 from ..session import configure, drop_on_exit, scan_bytes, shared_folder, spread_shuffles
 from ..sources import binding
 from ..sources.access import ACCESS_PATHS, write_access
-from ..sources.layers import LAYOUTS, Layers, layout, read_raw
+from ..sources.layers import LAYOUTS, Layers, layout, read_raw, typed
 
 
 class LazyTables(Mapping):
@@ -50,16 +51,18 @@ class Workspace:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir, self.domain = configure(spark), sf_dir, binding.BOUND_DOMAIN
         folder = shared_folder(spark)
-        if not folder:
+        if not folder and not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = f"{folder}/opsward-{spark.sparkContext.applicationId}"
-        drop_on_exit(spark, base)
-        self.layers = Layers(spark, f"{base}/{hashlib.sha256(sf_dir.encode()).hexdigest()[:16]}")
+        self.layers = None
+        if folder:
+            base = f"{folder}/opsward-{spark.sparkContext.applicationId}"
+            drop_on_exit(spark, base)
+            self.layers = Layers(spark, f"{base}/{hashlib.sha256(sf_dir.encode()).hexdigest()[:16]}")
         spread_shuffles(spark, sum(scan_bytes(self.source(t)) for t in ("lineitem", "orders", "events")))
         lock = RLock()
         with_mappings = (*schemas.TABLES, "reference_mappings")
         self.raw = LazyTables(schemas.TABLES, self._build_raw, lock)
-        self.clean = LazyTables((*with_mappings, *ACCESS_PATHS), self._build_clean, lock)
+        self.clean = LazyTables((*with_mappings, *(ACCESS_PATHS if self.layers else ())), self._build_clean, lock)
         self.csv = LazyTables(schemas.TABLES, self._build_csv, lock)
         self.clustered = LazyTables(tuple(LAYOUTS), self._build_clustered, lock)
         self.damaged_raw = LazyTables(schemas.TABLES, self._build_damaged_raw, lock)
@@ -69,7 +72,8 @@ class Workspace:
         return binding.table(self.spark, self.sf_dir, name)
 
     def _build_raw(self, name: str) -> DataFrame:
-        return self.layers.write("raw", name, binding.BINDINGS[name](self.spark, self.sf_dir))
+        df = binding.BINDINGS[name](self.spark, self.sf_dir)
+        return self.layers.write("raw", name, df) if self.layers else df
 
     def _build_csv(self, name: str) -> DataFrame:
         """The raw table as it would arrive: CSV files with a header, quotes, commas, backslashes and line breaks in values."""
@@ -96,6 +100,8 @@ class Workspace:
     def _finish(self, layer: str, name: str, raw: Mapping, clean: Mapping) -> DataFrame:
         if name == "reference_mappings":
             return build_mappings(self.spark, self.domain)
+        if not self.layers:
+            return typed(name, clean_table(name, raw[name], clean, self.domain))
         df = clean_table(name, raw[name], clean, self.domain, self.layers.orphan_store(name, layer))
         gated = gates.write_gated(self.layers, name, df, constraints.row_rules(self.domain), layer=layer)
         if layer == "clean_damaged":

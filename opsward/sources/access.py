@@ -58,10 +58,12 @@ class Access:
         found = self.rows.where(wanted)
         return found if self.hot is None else found.unionByName(self.hot.where(wanted).drop(RANGE))
 
-    def misplaced(self) -> DataFrame:
-        """Bucketed rows in the file of another bucket than the one their key hashes to."""
+    def placed(self) -> DataFrame:
+        """The key of every row, and whether the row is in the file of another bucket than the one its key hashes to."""
         bucket = F.regexp_extract(F.col("_metadata.file_name"), r"_(\d+)(?:\.c\d+)?\.", 1).cast("int")
-        return self.rows.where(bucket != F.pmod(F.hash(self.path.key), F.lit(self.buckets)))
+        misplaced = bucket != F.pmod(F.hash(self.path.key), F.lit(self.buckets))
+        found = self.rows.select(self.path.key, misplaced.alias("misplaced"))
+        return found if self.hot is None else found.unionByName(self.hot.select(self.path.key, F.lit(False).alias("misplaced")))
 
     def previous(self, value: str, output: str, columns: Sequence[str], ignore_nulls: bool = False) -> DataFrame:
         """The value of the key's row before, beside the columns; no row is shuffled but those of hot keys."""

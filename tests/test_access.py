@@ -37,7 +37,7 @@ def test_rows_come_back_and_open_again(spark, visits, tmp_path, hot):
     written = access.write_access(layers, "ed_visits_by_patient", visits, buckets=16, **limits)
     wanted = sorted(map(str, visits.where("patient_id IS NOT NULL").collect()))
     assert sorted(map(str, written.every().collect())) == wanted
-    assert (written.hot is not None) == hot and written.misplaced().count() == 0
+    assert (written.hot is not None) == hot and written.placed().where("misplaced").count() == 0
     if hot:
         assert {r[0] for r in written.hot.select("patient_id").distinct().collect()} == {"P-hot"}
         assert written.rows.where("patient_id = 'P-hot'").count() == 0
