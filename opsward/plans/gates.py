@@ -62,11 +62,14 @@ def write_gated(
     counted, seen = measures(table, own), Observation(f"{layer}_{table}")
     sound = F.col(VERDICT) == SOUND
     columns = [F.count_if(p).alias(f"found_{i}") for i, p in enumerate(counted.values())]
-    columns += [F.count_if(p & sound).alias(f"left_{i}") for i, p in enumerate(counted.values())]
+    if quarantine:  # else all rows stay
+        columns += [F.count_if(p & sound).alias(f"left_{i}") for i, p in enumerate(counted.values())]
     observed = marked.observe(seen, *columns).drop(*marks).sortWithinPartitions(VERDICT, *order)
     observed.write.mode("overwrite").partitionBy(VERDICT).parquet(layers.root(layer, table))
     numbers = seen.get
-    found, left = ({k: numbers[f"{side}_{i}"] for i, k in enumerate(counted)} for side in ("found", "left"))
+    found, left = (
+        {k: numbers[f"{side}_{i}"] for i, k in enumerate(counted)} for side in ("found", "left" if quarantine else "found")
+    )
 
     nothing = layers.spark.createDataFrame([], schemas.CLEAN_DDL[table])
     rows = ("rows", "all")
