@@ -39,6 +39,15 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
 
 
+def own_prefix(df: DataFrame) -> str:
+    """Underscores that no column of the table begins with: names with this prefix never clash with its own."""
+    return "_" * (1 + max((len(c) - len(c.lstrip("_")) for c in df.columns), default=0))
+
+
+def own_columns(df: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in df.columns]
+
+
 def in_fold(id_col: str, folds: int, fold: int) -> Column:
     """Whether crc32 of the id as text falls into a fold; a null id falls into none."""
     crc = F.crc32(F.col(id_col).cast("string").cast("binary"))

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, whole_text
+from .common import lower_ascii, own_columns, own_prefix, whole_text
 
 WINDOW = 10
 BLOCK_WORDS = 200_000
@@ -210,8 +210,12 @@ def contamination(docs: DataFrame, items: DataFrame, block_words: int = BLOCK_WO
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents without any hit word, with all their columns."""
-    return with_matches(docs, items, "_found").where(_hit("_found") == 0).select(*docs.columns)
+    """The documents without any hit word, with all their columns, whatever their names.
+
+    Null and empty texts have no words and stay; rows that repeat stay or go together; an empty table gives an empty result.
+    """
+    name = f"{own_prefix(docs)}found"
+    return with_matches(docs, items, name).where(_hit(name) == 0).select(*own_columns(docs))
 
 
 def remove_spans(docs: DataFrame, items: DataFrame, most_coverage: float = MOST_COVERAGE) -> DataFrame:
@@ -229,10 +233,11 @@ def remove_spans(docs: DataFrame, items: DataFrame, most_coverage: float = MOST_
             out.append(b"".join([*kept, raw[at:]]).decode())
         return pd.Series(out, dtype=object)
 
-    found = with_matches(docs, items, "_found")
-    few = found.where(_hit("_found") <= most_coverage * F.col("_found.n_words"))
-    text = F.when(F.size("_found.spans") > 0, cut(whole_text(), F.col("_found.spans"))).otherwise(F.col("text"))
-    return few.withColumn("text", text).select(*docs.columns)
+    name = f"{own_prefix(docs)}found"
+    found = with_matches(docs, items, name)
+    few = found.where(_hit(name) <= most_coverage * F.col(f"{name}.n_words"))
+    text = F.when(F.size(f"{name}.spans") > 0, cut(whole_text(), F.col(f"{name}.spans"))).otherwise(F.col("text"))
+    return few.withColumn("text", text).select(*own_columns(docs))
 
 
 ORACLE = rf"""

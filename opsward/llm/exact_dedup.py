@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE, store, whole_text
+from .common import WHITE, own_columns, own_prefix, store, whole_text
 
 RUN_BITS, FAN_BITS = 8, 4
 KEY = ["short", "sha"]
@@ -67,28 +67,28 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns.
+    """The documents that stay, with all their columns, whatever their names.
 
     A document is found again by doc_id, length and text digest. Rows that repeat all three are ties, of which
     one stays; only then are the survivors of those groups collapsed.
     """
+    p = own_prefix(docs)
     rows = store(digests(docs), "digests")
     groups = merge_runs(rows)
     stay = store(
         rows.join(groups.where("group_size > 1"), KEY, "left")
         .where(F.col("keep_place").isNull() | ((F.col("keep_chars") == F.col("chars")) & F.col("keep_id").eqNullSafe(F.col("doc_id"))))
-        .groupBy(F.col("doc_id").alias("_id"), F.col("chars").alias("_chars"), F.col("sha").alias("_sha")).agg(F.count("*").alias("_n")),
+        .groupBy(F.col("doc_id").alias(f"{p}id"), F.col("chars").alias(f"{p}chars"), F.col("sha").alias(f"{p}sha")).agg(F.count("*").alias(f"{p}n")),
         "stay",
     )
     bare = F.regexp_replace(whole_text(), WHITE, "")
-    keyed = docs.withColumns({"_sha_of": F.unhex(F.sha2(bare, 256)), "_chars_of": F.length(whole_text()).cast("long")})
-    met = keyed.join(
-        stay, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_chars_of") == F.col("_chars")) & (F.col("_sha_of") == F.col("_sha")), "inner"
-    )
-    if stay.where("_n > 1").limit(1).count():
-        single, tied = met.where("_n = 1"), met.where("_n > 1").dropDuplicates(["_id", "_chars", "_sha"])
+    keyed = docs.withColumns({f"{p}sha_of": F.unhex(F.sha2(bare, 256)), f"{p}chars_of": F.length(whole_text()).cast("long")})
+    same = F.col("doc_id").eqNullSafe(F.col(f"{p}id")) & (F.col(f"{p}chars_of") == F.col(f"{p}chars")) & (F.col(f"{p}sha_of") == F.col(f"{p}sha"))
+    met = keyed.join(stay, same, "inner")
+    if stay.where(F.col(f"{p}n") > 1).limit(1).count():
+        single, tied = met.where(F.col(f"{p}n") == 1), met.where(F.col(f"{p}n") > 1).dropDuplicates([f"{p}id", f"{p}chars", f"{p}sha"])
         met = single.unionByName(tied)
-    return met.select(*docs.columns)
+    return met.select(*own_columns(docs))
 
 
 ORACLE = r"""

@@ -38,7 +38,7 @@ from pyspark.sql.types import ArrayType, ShortType
 from pyspark.sql.window import Window
 
 from ..session import scan_bytes
-from .common import UNKNOWN_BYTES, store, whole_text
+from .common import UNKNOWN_BYTES, own_columns, own_prefix, store, whole_text
 from .words import SPREAD, hashed_words, mix
 
 HUB_ROUNDS = 2
@@ -308,22 +308,27 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each group with all its columns: the smallest (doc_id, text digest). Texts without words all stay."""
+    """One document of each group with all its columns, whatever their names: the smallest (doc_id, text digest).
+
+    Texts without words all stay; of rows equal in doc_id and text that lead a group one stays; an empty table gives an
+    empty result.
+    """
+    p = own_prefix(docs)
     rows = store(near_groups(docs, size, percent), "groups")
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "digest")
     first = rows.where("n_shingles > 0").groupBy("component").agg(F.min(place).alias("first"), F.count("*").alias("rows")).where("rows > 1")
     judged = store(rows.join(first, "component").select("doc_id", "digest", (F.col("first") == place).alias("stays")), "judged")
-    gone = judged.where("NOT stays").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).distinct()
-    keyed = docs.withColumn("_digest_of", F.xxhash64(whole_text()))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_digest_of") == F.col("_digest"))
+    gone = judged.where("NOT stays").select(F.col("doc_id").alias(f"{p}id"), F.col("digest").alias(f"{p}digest")).distinct()
+    keyed = docs.withColumn(f"{p}digest_of", F.xxhash64(whole_text()))
+    same = F.col("doc_id").eqNullSafe(F.col(f"{p}id")) & (F.col(f"{p}digest_of") == F.col(f"{p}digest"))
     left = keyed.join(gone, same, "left_anti")
     # Equal rows are told apart by nothing: of those that lead a group one stays.
-    equal = judged.where("stays").groupBy(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).count().where("count > 1")
+    equal = judged.where("stays").groupBy(F.col("doc_id").alias(f"{p}id"), F.col("digest").alias(f"{p}digest")).count().where("count > 1")
     equal = store(equal, "equal")
     if equal.limit(1).count():
         single = left.join(equal, same, "left_anti")
-        left = single.unionByName(left.join(equal, same, "left_semi").dropDuplicates(["doc_id", "_digest_of"]))
-    return left.select(*docs.columns)
+        left = single.unionByName(left.join(equal, same, "left_semi").dropDuplicates(["doc_id", f"{p}digest_of"]))
+    return left.select(*own_columns(docs))
 
 
 def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:

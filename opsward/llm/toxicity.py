@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_fold, store, whole_text
+from .common import in_fold, own_columns, own_prefix, store, whole_text
 from .learning import labelled_sample, logistic, sigmoid
 
 THRESHOLD = 0.7
@@ -173,6 +173,10 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that score below the threshold, with all their columns."""
-    scored = docs.withColumn("_toxicity", _scorer(docs, train(docs, labels)))
-    return scored.where(F.col("_toxicity") < THRESHOLD).select(*docs.columns)
+    """The documents that score below the threshold, with all their columns, whatever their names.
+
+    Null and empty texts are scored like others; rows that repeat stay or go together; an empty table gives an empty result.
+    """
+    name = f"{own_prefix(docs)}toxicity"
+    scored = docs.withColumn(name, _scorer(docs, train(docs, labels)))
+    return scored.where(F.col(name) < THRESHOLD).select(*own_columns(docs))
