@@ -12,11 +12,11 @@ from ..plans import constraints as ct
 from ..plans import gates
 from ..plans import profiling as pf
 from ..plans import validation as vl
-from ..plans.mappings import build_mappings
+from ..plans.mappings import MAPPED_COLUMNS, build_mappings, mapping_usage
 from ..sources.binding import BOUND_DOMAIN
 from ..sources.keyed import KeyedTable
 from ..sources.layers import upsert
-from .oracle import SNAPSHOT, n, n_if, nid, pct, present, sentinel, to_date, to_ts, trim, union_all
+from .oracle import SNAPSHOT, key, n, n_if, nid, pct, present, sentinel, to_date, to_ts, trim, union_all
 from .registry import query
 
 TABLES = schemas.TABLES
@@ -199,6 +199,17 @@ def _(w):
     return build_mappings(w.spark, w.domain, build_mappings(w.spark, w.domain))
 
 
+@query("cl00b_mapping_usage", f"""
+SELECT coalesce(m.mapping_group, u.g) AS mapping_group, coalesce(m.raw_value_normalised, u.v) AS raw_value_normalised, m.standard_value,
+  coalesce(u.c, 0)::BIGINT AS raw_rows
+FROM mappings m FULL JOIN ({union_all(
+    f"SELECT '{g}' AS g, {key(g)} AS v, {n()} AS c FROM bad_raw_{t} WHERE {key(g)} IS NOT NULL GROUP BY 2" for g, t in MAPPED_COLUMNS.items())}) u
+ON m.mapping_group = u.g AND m.raw_value_normalised = u.v""")
+def _(w):
+    """Raw rows behind every approved mapping, and raw values without one."""
+    return mapping_usage(build_mappings(w.spark, w.domain), w.damaged_raw)
+
+
 def _clean_query(table: str):
     return lambda w: w.clean[table]
 

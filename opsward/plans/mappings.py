@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions import norm_key
 from ..schemas import Domain
 from ..sources.layers import upsert
 
@@ -60,3 +63,20 @@ def build_mappings(spark: SparkSession, domain: Domain, existing: DataFrame | No
     if existing is None:
         return approved
     return upsert(existing, approved, schemas.PRIMARY_KEYS["reference_mappings"])
+
+
+# The raw column that each mapping group translates.
+MAPPED_COLUMNS = {
+    "hospital_region": "facilities", "gender": "patients", "referral_status": "referrals", "appointment_status": "appointments",
+}
+
+
+def mapping_usage(mappings: DataFrame, raw: Mapping[str, DataFrame]) -> DataFrame:
+    """Every mapping rule with the raw rows it translates, and raw values that no rule knows, with a NULL standard value."""
+    parts = [
+        raw[table].groupBy(F.lit(group).alias("mapping_group"), norm_key(F.col(group)).alias("raw_value_normalised"))
+        .agg(F.count("*").alias("raw_rows")).where(F.col("raw_value_normalised").isNotNull())
+        for group, table in MAPPED_COLUMNS.items()
+    ]
+    used = reduce(DataFrame.unionByName, parts)
+    return mappings.join(used, ["mapping_group", "raw_value_normalised"], "full").fillna(0, ["raw_rows"])
