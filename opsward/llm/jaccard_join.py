@@ -9,7 +9,7 @@ tokens are indexed singly: (1-t)n + 1 of them are enough. If a set has fewer (r)
 into the frequent tokens, which are indexed as combinations of two neighbours in the global order. A token
 that the partner misses breaks two neighbour pairs and one that only the partner has breaks one; missed
 and added tokens together cost at most 2(1-t)n pairs, so 2(1-t)n - 2r + 2 frequent tokens leave an intact
-pair. Of two linked sets, the one whose prefix ends first therefore shares an entry with the other.
+pair. That holds for similarities of at least 0.67; below it frequent tokens are indexed singly as well. Of two linked sets, the one whose prefix ends first therefore shares an entry with the other.
 
 Verification. Entries with two or more classes propose pairs of compatible sizes. A pair whose token
 counts per hash bin (``shape``) already rule out the overlap is dropped; the rest compare their sets. First each class meets
@@ -53,6 +53,8 @@ COUNT_CAP = (1 << COUNT_BITS) - 1
 FEW_BINS, MANY_BINS, LARGE_SET = 64, 256, 1000
 #: A class's smallest entries travel with its open postings, so that a pair meets once instead of at every common entry.
 SHORT_LIST = 16
+#: Below this similarity missed and added tokens may break every neighbour pair, so all tokens are indexed singly.
+LEAST_PAIRED = 67
 
 
 def shingles(text: str, size: int) -> np.ndarray:
@@ -87,7 +89,7 @@ def entries(tokens: np.ndarray, percent: int, sketch: np.ndarray, frequent: floa
     is_rare = count <= frequent
     rare = int(is_rare.sum())
     need = n - (percent * n + 99) // 100 + 1
-    if rare >= need:
+    if rare >= need or percent < LEAST_PAIRED:
         # The order's leading bits are enough: tokens that tie with the last one are indexed too.
         place = (np.minimum(count, COUNT_CAP).astype(np.uint64) << np.uint64(64 - COUNT_BITS)) | (tokens >> np.uint64(COUNT_BITS))
         return mix(tokens[place <= np.partition(place, need - 1)[need - 1]]).view(np.int64)
@@ -171,10 +173,14 @@ def members_of(docs: DataFrame, size: int, percent: int) -> DataFrame:
 
 
 def _token_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """Stored: key and token set of the wanted classes, read from one member document each."""
+    """Stored: key and token set of the wanted classes, read from one member document each.
+
+    A member is found by id and text digest: rows without an id, or with a repeated one, don't meet each other's classes.
+    """
     few = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    texts = docs.select("doc_id", whole_text().alias("text"))
-    met = texts.join(F.broadcast(wanted) if few else wanted, texts["doc_id"].eqNullSafe(wanted["rep"]))
+    texts = docs.select("doc_id", whole_text().alias("text")).withColumn("digest", F.xxhash64("text"))
+    same = texts["doc_id"].eqNullSafe(wanted["rep.doc_id"]) & (texts["digest"] == wanted["rep.digest"])
+    met = texts.join(F.broadcast(wanted) if few else wanted, same)
 
     def tokens(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -248,7 +254,7 @@ def _few_bins(n: pd.Series, packed: pd.Series) -> pd.Series:
 def class_links(docs: DataFrame, members: DataFrame, size: int, percent: int) -> DataFrame:
     """key -> component of every class that links with another."""
     indexed = members.where(F.size("entries") > 0).groupBy("key").agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("entries").alias("entries"), F.first("shape").alias("shape")
+        F.min(F.struct("doc_id", "digest")).alias("rep"), F.first("n").alias("n"), F.first("entries").alias("entries"), F.first("shape").alias("shape")
     )
     indexed = store(indexed, "classes")
     classes = indexed.select("key", "rep", "n", "shape")

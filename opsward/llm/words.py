@@ -41,6 +41,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 #: Bytes that are hashed at a time; a piece ends between words and is longer only if one word is.
 PIECE = 1 << 16
 _FACTOR = 0x9E3779B97F4A7C15
+#: Bytes of the longest word hashed as a polynomial: modulo a power of two, long words of a regular build have equal ones.
+LONGEST = 48
 _VALUE = mix(np.arange(1, 257, dtype=np.uint64) * SPREAD)
 _VALUE[ord("A") : ord("Z") + 1] = _VALUE[ord("a") : ord("z") + 1]
 _IS_WHITE = np.zeros(256, bool)
@@ -57,7 +59,7 @@ _up, _down = _powers(_FACTOR, 2 * PIECE), _powers(pow(_FACTOR, -1, 1 << 64), 2 *
 
 
 def _hash_piece(raw: np.ndarray) -> np.ndarray:
-    """A word is the polynomial of its byte values; differences of prefix sums give it for all words at once."""
+    """A word is the polynomial of its byte values; differences of prefix sums give it for all words at once. Long words are hashed singly."""
     n = len(raw)
     up, down = (_up, _down) if n <= len(_up) else (_powers(_FACTOR, n), _powers(pow(_FACTOR, -1, 1 << 64), n))
     outside = np.ones(n + 2, bool)
@@ -66,7 +68,10 @@ def _hash_piece(raw: np.ndarray) -> np.ndarray:
     first, stop = edges[::2], edges[1::2]
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(_VALUE[raw] * up[:n], out=sums[1:])
-    return mix((sums[stop] - sums[first]) * down[first] + (stop - first).astype(np.uint64))
+    found = mix((sums[stop] - sums[first]) * down[first] + (stop - first).astype(np.uint64))
+    for i in np.flatnonzero(stop - first > LONGEST):
+        found[i] = xxhash.xxh3_64_intdigest(raw[first[i] : stop[i]].tobytes().lower())
+    return found
 
 
 def hashed_words(text: str) -> np.ndarray:

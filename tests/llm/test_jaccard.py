@@ -119,3 +119,28 @@ def test_hashed_words_are_the_words_between_white_space():
         assert len(words) == len(hashes)
         assert all(seen.setdefault(w, h) == h for w, h in zip(words, hashes))
     assert len(set(seen.values())) == len(seen)
+
+
+def test_long_words_of_a_regular_build_stay_different():
+    from opsward.llm.words import hashed_words
+
+    for n in (32, 64, 1024, 4096):
+        word = "".join("ab"[i.bit_count() % 2] for i in range(n))
+        other = word.translate(str.maketrans("ab", "ba"))
+        a, b, c = hashed_words(f"x {word} {other} {word.upper()}").tolist()[1:]
+        assert a != b and a == c
+
+
+def test_rows_without_ids_meet_their_own_class_only(spark, tmp_path):
+    """300 texts without an id: each wanted class reads one text, not all of them."""
+    from opsward.llm.jaccard_join import _token_sets, set_key
+    from pyspark.sql import functions as F
+
+    rows = [(None, " ".join(f"w{i}x{k}" for k in range(20))) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    key = F.udf(lambda t: set_key(shingles(t, 3)), "binary")
+    wanted = docs.select(key("text").alias("key"), F.struct("doc_id", F.xxhash64("text").alias("digest")).alias("rep"))
+    assert _token_sets(docs, wanted, 3).count() == 300
+    texts = [(None, t + tail) for _, t in rows[:30] for tail in ("", " z")]
+    got = near_groups(spark.createDataFrame(texts, "doc_id long, text string"), 3, 90)
+    assert got.select("component").distinct().count() == 30
