@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import string
 import uuid
-from collections.abc import Iterator
 from urllib.parse import urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,12 +21,14 @@ SHARD_BYTES = 64 << 20
 UNKNOWN_BYTES = 1 << 60
 
 
-#: Rows that reach a Python worker at once; bounds its memory where texts are long.
-BATCH_ROWS = "1000"
+#: Rows and bytes that reach a Python worker at once (a single longer row stays whole): its memory is bounded where texts are long.
+ARROW_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    configure(spark)
+    for key, value in ARROW_BATCHES.items():
+        spark.conf.set(key, value)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -85,14 +86,3 @@ def shards(df: DataFrame, bytes_each: int = SHARD_BYTES, least: int = 16) -> int
     if known >= UNKNOWN_BYTES:
         return max(least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return max(least, -(-known // bytes_each))
-
-
-def batches(frames: Iterator, most_chars: int, text_at: str = "text") -> Iterator:
-    """Arrow frames cut so that none holds many more than most_chars characters (a single longer text stays whole)."""
-    for frame in frames:
-        ends = frame[text_at].str.len().fillna(0).cumsum().to_numpy() // most_chars
-        start = 0
-        for stop in [*((ends[1:] != ends[:-1]).nonzero()[0] + 1), len(frame)]:
-            if stop > start:
-                yield frame.iloc[start:stop]
-            start = stop
