@@ -25,7 +25,9 @@ LONGEST_PIECE = 64
 _END = array("I", [END_ID]).tobytes()
 
 _WORD = re.compile(r"( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:|)*&$#%\-]*)")
-_ODD = r"  | [\t\n\r\x0b\x0c]|[\t\n\r\x0b\x0c] |[\t\r\x0b\x0c]|\n\n\n|\n\n\Z|^ | $|[\x1c-\x1f\x85\xa0\u1680\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]"
+#: Unusual white space; the line break and the blank are judged by what stands beside them.
+_RARE = re.compile(r"[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
+_ODD = ["  ", " \n", "\n ", "\n\n\n"]
 
 
 class Encoder:
@@ -36,8 +38,7 @@ class Encoder:
         self._tokenizer = Tokenizer.from_file(path)
         rules = json.loads(self._tokenizer.to_str())
         self._folds_case = '"Lowercase"' in json.dumps(rules["normalizer"])
-        special = [re.escape(t["content"]) for t in rules["added_tokens"]]
-        self._odd = re.compile("|".join([_ODD, *special]))
+        self._odd = [*_ODD, *(t["content"] for t in rules["added_tokens"] if t["content"])]
         letters = [chr(c) for c in range(0x21, 0x100) if _WORD.fullmatch("a" + chr(c)) or _WORD.fullmatch(chr(c))]
         cut = self._tokenizer.pre_tokenizer.pre_tokenize_str
         self._bytes = str.maketrans({c: cut(c)[0][0] for c in letters} | {" ": "".join(x for x, _ in cut(" "))})
@@ -69,9 +70,12 @@ class Encoder:
             self._known[piece[1:] if piece[:1] == " " else "\n" + piece] = found
         return found
 
+    def _is_odd(self, text: str) -> bool:
+        return text[:1] == " " or text.endswith((" ", "\n\n")) or any(x in text for x in self._odd) or _RARE.search(text) is not None
+
     def ids(self, text: str) -> np.ndarray:
         """The ids of a text, its end id last, as unsigned 32-bit integers."""
-        if self._odd.search(text):
+        if self._is_odd(text):
             return np.frombuffer(self._whole(text) + _END, "<u4")
         if len(self._known) > MOST_PIECES:
             self._known.clear()
