@@ -104,3 +104,9 @@ def test_empty_table(spark, visits, tmp_path):
     stored = access.write_access(Layers(spark, str(tmp_path / "base")), "ed_visits_by_patient", visits.limit(0), buckets=8)
     assert stored.every().count() == 0 and stored.previous("discharge_time", "before", ["visit_id"]).count() == 0
     assert questions.return_within_window({"ed_visits_by_patient": stored, "facilities": spark.createDataFrame([], schemas.CLEAN_DDL["facilities"])}, Domain()).count() == 0
+
+
+def test_buckets_are_sized_by_rows_in_memory(spark, visits, tmp_path, monkeypatch):
+    monkeypatch.setattr(access, "scan_bytes", lambda df: 1 << 30)
+    stored = access.write_access(Layers(spark, str(tmp_path / "base")), "ed_visits_by_patient", visits.limit(0))
+    assert stored.buckets == 64
