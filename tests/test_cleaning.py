@@ -165,3 +165,12 @@ def test_flag_mismatch_rows_finds_a_lie(clean):
     lying = clean["patients"].withColumn("ethnicity_missing_flag", F.lit(True))
     assert validation.flag_mismatch_rows("patients", clean["patients"]).count() == 0
     assert [r.patient_id for r in validation.flag_mismatch_rows("patients", lying).collect()] == ["P000001"]
+
+
+def test_every_form_of_a_time_is_tried_once(spark, clean, maps):
+    rows = raw(spark, "appointments", [("A1", "P000001", "D005", "", "2026-01-01 09:00:00", None, "", "completed", "procedure", "phone")])
+    referrals = spark.createDataFrame([], schemas.CLEAN_DDL["referrals"])
+    found = cleaning.clean_appointments(rows, clean["patients"], clean["departments"], referrals, maps, DOMAIN)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    forms = len(DOMAIN.time_formats) + len(DOMAIN.date_formats)
+    assert plan.count("gettimestamp(") == 3 * forms

@@ -157,3 +157,12 @@ def test_other_forms_are_read_and_rubbish_is_stopped_or_set_aside(spark, tmp_pat
     plain = Domain(date_formats=(), time_formats=())
     with pytest.raises(RuleViolation, match="readable referral_date: 2"):
         pipeline.build_clean(layers, plain, clustered=False)
+
+
+def test_a_clean_table_is_written_in_methods_that_the_jvm_compiles(spark, tmp_path, monkeypatch):
+    key, seen = "spark.sql.codegen.hugeMethodLimit", []
+    before = spark.conf.get(key, None)
+    monkeypatch.setattr(gates.Layers, "root", lambda self, layer, table: seen.append(spark.conf.get(key)) or f"{tmp_path}/{layer}/{table}")
+    empty = spark.createDataFrame([], schemas.CLEAN_DDL["facilities"])
+    gates.write_gated(gates.Layers(spark, str(tmp_path)), "facilities", empty, [])
+    assert seen[0] == "8000" and spark.conf.get(key, None) == before
