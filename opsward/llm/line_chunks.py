@@ -4,8 +4,8 @@ A document is a sequence of lines. A chunk ends after a line where the rolling h
 WINDOW line hashes is divisible by DIVISOR, so boundaries follow the content and meet again after an
 insertion. A line of LONG_WORDS words or more is a chunk of its own. Chunks of several lines, and those
 long lines, that occur more than once in the whole table are removed but for their first occurrence
-(smallest doc_id, then text digest, then position). Hashes only propose: a chunk is removed after its
-bytes were compared (grouped) with the other occurrences.
+(smallest doc_id, then text digest, then position). Chunks are equal when their SHA-256 is, so that digests and
+not texts are shuffled. The texts themselves meet their removed chunks in one shuffle, the same at every size.
 
 Defined cases: null text is empty and has one empty line; rows that agree in doc_id and text are one
 document; null ids order first; an empty table gives an empty result.
@@ -51,33 +51,26 @@ def chunked(docs: DataFrame) -> DataFrame:
 
 
 def occurrences(cut: DataFrame) -> DataFrame:
-    """One row per chunk that may be removed: place, size and text."""
+    """One row per chunk that may be removed: place and SHA-256 of its text."""
     body = F.array_join(F.slice("lines", F.col("c.first") + 1, F.col("c.n_lines")), "\n")
     candidates = F.filter("chunks", lambda c: (c["n_lines"] > 1) | (c["words"] >= LONG_WORDS))
-    return cut.select(*ROW, "lines", F.explode(candidates).alias("c")).select(*ROW, F.col("c.first").alias("first"), body.alias("body"))
+    found = cut.select(*ROW, "lines", F.explode(candidates).alias("c"))
+    return found.select(*ROW, F.col("c.first").alias("first"), F.unhex(F.sha2(body, 256)).alias("sha"))
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
     """doc_id, digest, first line of every chunk to remove."""
     place = F.struct(*ROW, "first")
-    found = occurrences(chunked(docs)).withColumn("hash", F.xxhash64("body"))
-    hashes = store(found.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), "repeated")
-    again = found.join(hashes, "hash", "left_semi")
-    same = again.groupBy("hash", "body").agg(F.count("*").alias("n"), F.min(place).alias("kept")).where("n > 1")
-    # A body meets its group again by hash and SHA-256, so that bodies are compared once and not shuffled twice.
-    same = same.select("hash", F.sha2("body", 256).alias("sha"), "kept")
-    return (
-        again.select("hash", F.sha2("body", 256).alias("sha"), place.alias("place"))
-        .join(same, ["hash", "sha"])
-        .where(~F.col("place").eqNullSafe(F.col("kept")))
-        .select("place.*")
-    )
+    found = store(occurrences(chunked(docs)), "chunks")
+    same = found.groupBy("sha").agg(F.count("*").alias("n"), F.min(place).alias("kept")).where("n > 1").select("sha", "kept")
+    again = found.select("sha", place.alias("place")).join(same, "sha")
+    return again.where(~F.col("place").eqNullSafe(F.col("kept"))).select("place.*")
 
 
 def dedupe_lines(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines, n_chunks, removed_chunks, removed_lines and the text that stays, for every row."""
     removed = repeated_chunks(docs).distinct().groupBy(*ROW).agg(F.collect_list("first").alias("gone"))
-    gone = removed.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "gone")
+    gone = removed.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "gone").hint("merge")
     met = chunked(docs).join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")), "left")
     dropped = lambda c: F.coalesce(F.array_contains("gone", c["first"]), F.lit(False))
     stay = F.filter("chunks", lambda c: ~dropped(c))
