@@ -11,9 +11,10 @@ that the partner misses breaks two neighbour pairs and one that only the partner
 and added tokens together cost at most 2(1-t)n pairs, so 2(1-t)n - 2r + 2 frequent tokens leave an intact
 pair. That holds for similarities of at least 0.67; below it frequent tokens are indexed singly as well. Of two linked sets, the one whose prefix ends first therefore shares an entry with the other.
 
-Verification. Entries with two or more classes propose pairs of compatible sizes. A pair whose token
-counts per hash bin (``shape``) already rule out the overlap is dropped; the rest compare their sets. First each class meets
-one hub per entry, in HUB_ROUNDS rounds with changing hubs; classes that a link already joined need no
+Verification. Entries with two or more classes propose pairs of compatible sizes. A pair whose parities of
+token counts per hash bin (``shape``) already rule out the overlap is dropped: a bin of different parity holds a token of one
+set only. The rest compare their sets. First each class meets one hub per entry, in HUB_ROUNDS rounds: the class that shares
+most with the others, the middle of a large group, and then a changing one; classes that a link already joined need no
 further pair. What is left in different components is then compared in full, so no link that matters for
 the groups is lost and a large group of near copies doesn't cost all its pairs. Sizes and intersections
 are exact, over 64-bit shingle hashes.
@@ -28,13 +29,15 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, ShortType
+from pyspark.sql.types import ArrayType, LongType
 from pyspark.sql.window import Window
 
 from ..session import scan_bytes
@@ -50,9 +53,12 @@ BLOCK = 1 << 16
 #: Leading bits of a rare token's place in the global order that hold its count; higher counts tie and the token decides.
 COUNT_BITS = 24
 COUNT_CAP = (1 << COUNT_BITS) - 1
-FEW_BINS, MANY_BINS, LARGE_SET = 64, 256, 1000
+#: Parity bits of a small and of a large set; the longer ones fold into the shorter ones.
+FEW_BITS, MANY_BITS, LARGE_SET = 512, 4096, 1000
 #: A class's smallest entries travel with its open postings, so that a pair meets once instead of at every common entry.
-SHORT_LIST = 16
+SHORT_LIST = 8
+#: Entries of more classes than this choose their first hub by what the classes share; in smaller ones every pair is cheap.
+LARGE_ENTRY = 16
 #: Below this similarity missed and added tokens may break every neighbour pair, so all tokens are indexed singly.
 LEAST_PAIRED = 67
 
@@ -101,22 +107,25 @@ def entries(tokens: np.ndarray, percent: int, sketch: np.ndarray, frequent: floa
 
 
 def shape(tokens: np.ndarray) -> bytes:
-    """Number of tokens in each of FEW_BINS or, for large sets, MANY_BINS hash bins."""
-    bins = FEW_BINS if len(tokens) <= LARGE_SET else MANY_BINS
-    return np.bincount((tokens >> np.uint64(40)).astype(np.int64) % bins, minlength=bins).astype("<u4" if len(tokens) >= 1 << 16 else "<u2").tobytes()
+    """Parity of the number of tokens in each of FEW_BITS or, for large sets, MANY_BITS hash bins, eight bins a byte."""
+    bins = FEW_BITS if len(tokens) <= LARGE_SET else MANY_BITS
+    counts = np.bincount((tokens >> np.uint64(40)).astype(np.int64) % bins, minlength=bins)
+    return np.packbits((counts & 1).astype(np.uint8)).tobytes()
 
 
-def _bins(n: int, packed: bytes) -> np.ndarray:
-    return np.frombuffer(packed, "<u4" if n >= 1 << 16 else "<u2").astype(np.int64)
+def _folded(packed: bytes) -> np.ndarray:
+    """FEW_BITS parities as 64-bit integers."""
+    return np.bitwise_xor.reduce(np.frombuffer(packed, "<i8").reshape(-1, FEW_BITS // 64), axis=0)
 
 
 def may_link(n: int, a: bytes, m: int, b: bytes, percent: int) -> bool:
-    """False only if the bins prove that two sets of n and m tokens overlap too little."""
-    x, y = _bins(n, a), _bins(m, b)
-    if len(x) != len(y):
-        x, y = (z.reshape(-1, FEW_BINS).sum(axis=0) for z in (x, y))
-    most = int(np.minimum(x, y).sum())
-    return 100 * most >= percent * (n + m - most)
+    """False only if the parities prove that two sets of n and m tokens overlap too little.
+
+    A bin whose parities differ holds a token that only one set has.
+    """
+    x, y = (np.frombuffer(z, np.uint8) for z in (a, b)) if len(a) == len(b) else (_folded(z).view(np.uint8) for z in (a, b))
+    apart = int(np.bitwise_count(x ^ y).sum())
+    return (100 + percent) * apart <= (100 - percent) * (n + m)
 
 
 def _sketch_size(docs: DataFrame) -> int:
@@ -232,6 +241,13 @@ def _labelled(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
     return met.withColumn("component", F.coalesce("component", "key"))
 
 
+def _supported(postings: DataFrame, support: DataFrame) -> DataFrame:
+    """Postings with the support of the classes in large entries."""
+    large = F.col("classes") > LARGE_ENTRY
+    met = postings.where(large).join(support, "key").select("entry", "key", "n", "support")
+    return met.unionByName(postings.where(~large).select("entry", "key", "n", F.lit(0).cast("long").alias("support")))
+
+
 def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs that sizes and shapes leave possible, with the document that represents each class."""
 
@@ -244,11 +260,10 @@ def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return store(met.where(possible("n", "shape_a", "m", "shape_b")).select("a", "b", "rep_a", "rep_b"), "possible")
 
 
-@F.pandas_udf(ArrayType(ShortType()))
-def _few_bins(n: pd.Series, packed: pd.Series) -> pd.Series:
-    """Token counts of FEW_BINS hash bins; null where one is too large for the type."""
-    bins = (_bins(*x).reshape(-1, FEW_BINS).sum(axis=0) for x in zip(n, packed))
-    return pd.Series([x.astype(np.int16) if x.max() < 1 << 15 else None for x in bins], dtype=object)
+@F.pandas_udf(ArrayType(LongType()))
+def _few_bits(packed: pd.Series) -> pd.Series:
+    """FEW_BITS parities of every set."""
+    return packed.map(_folded)
 
 
 def class_links(docs: DataFrame, members: DataFrame, size: int, percent: int) -> DataFrame:
@@ -260,34 +275,38 @@ def class_links(docs: DataFrame, members: DataFrame, size: int, percent: int) ->
     classes = indexed.select("key", "rep", "n", "shape")
     exploded = indexed.select("key", "n", F.explode("entries").alias("entry"))
     shared = exploded.withColumn("classes", F.count("*").over(Window.partitionBy("entry"))).where("classes > 1")
-    postings = store(shared.select("entry", "key", "n"), "postings")
+    postings = store(shared.select("entry", "key", "n", "classes"), "postings")
+    # The class that shares most is nearest to the middle of a large group, and most of the group links with it.
+    support = store(postings.where(F.col("classes") > LARGE_ENTRY).groupBy("key").agg(F.sum("classes").alias("support")), "support")
     fits = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
     ordered = (F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     links = labels = None
     for hub_round in range(HUB_ROUNDS + 1):
-        own = _labelled(postings, labels)
+        own = _labelled(postings.drop("classes") if hub_round else _supported(postings, support), labels)
         if hub_round < HUB_ROUNDS:
-            rank = F.struct(F.xxhash64("key", F.lit(hub_round)).alias("rank"), F.col("key").alias("hub"), F.col("n").alias("m"), F.col("component").alias("hub_component"))
+            chosen = F.lit(0).cast("long") if hub_round else -F.coalesce("support", F.lit(0))
+            rank = F.struct(chosen.alias("chosen"), F.xxhash64("key", F.lit(hub_round)).alias("rank"), F.col("key").alias("hub"), F.col("n").alias("m"), F.col("component").alias("hub_component"))
             met = own.withColumn("h", F.min(rank).over(Window.partitionBy("entry")))
             met = met.select(F.col("key").alias("a"), "n", "component", F.col("h.hub").alias("b"), F.col("h.m").alias("m"), F.col("h.hub_component").alias("other"))
         else:
             # Only entries that still hold several components are compared in full.
             open_ = own.groupBy("entry").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("entry")
-            # A pair meets at its first common entry, and only if the bins leave it possible. Entries are sorted: if the
+            # A pair meets at its first common entry, and only if the parities leave it possible. Entries are sorted: if the
             # smallest ones have a common one, that is the first; pairs without one there meet at every common entry.
             listed = F.slice("entries", 1, SHORT_LIST).alias("listed")
-            left = store(own.join(open_, "entry", "left_semi").join(indexed.select("key", _few_bins("n", "shape").alias("bins"), listed), "key"), "open")
+            left = store(own.join(open_, "entry", "left_semi").join(indexed.select("key", _few_bits("shape").alias("bits"), listed), "key"), "open")
             right = left.select(
                 "entry", F.col("key").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"),
-                F.col("bins").alias("other_bins"), F.col("listed").alias("other_listed"),
+                F.col("bits").alias("other_bits"), F.col("listed").alias("other_listed"),
             )
             left = left.withColumnRenamed("key", "a")
-            most = F.aggregate(F.zip_with("bins", "other_bins", lambda x, y: F.least(x, y).cast("long")), F.lit(0).cast("long"), lambda x, y: x + y)
+            differ = (F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("other_bits")[i])) for i in range(FEW_BITS // 64))
+            apart = reduce(add, differ).cast("long")
             first = F.array_min(F.array_intersect("listed", "other_listed"))
             met = left.join(
                 right,
                 (left["entry"] == right["entry"]) & (F.col("a") < F.col("b")) & (F.col("component") != F.col("other")) & fits
-                & F.coalesce(most * (100 + percent) >= (F.col("n") + F.col("m")) * percent, F.lit(True)) & F.coalesce(first == left["entry"], F.lit(True)),
+                & (apart * (100 + percent) <= (F.col("n") + F.col("m")) * (100 - percent)) & F.coalesce(first == left["entry"], F.lit(True)),
             )
         pairs = met.where((F.col("component") != F.col("other")) & fits).select(*ordered).distinct()
         possible = _possible(pairs, classes, percent)
