@@ -12,13 +12,18 @@ from .common import store, whole_text
 MOST_PER_CLASS = 12_000
 
 
+def labelled(labels: DataFrame, label: str, train: Column) -> DataFrame:
+    """doc_id and label of all training rows: 1 if any of a document's labels is; null labels are left out."""
+    return labels.where(train & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Column, most: int = MOST_PER_CLASS) -> DataFrame:
     """Stored text, label and class weight of at most ``most`` training rows of each class, by hash of their id.
 
     The sample's ids are bounded (2 x most rows), so they may be broadcast; weights restore the classes' shares.
     A document with several labels counts as 1 if any is; null labels are left out.
     """
-    known = labels.where(train & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
+    known = labelled(labels, label, train)
     counts = {r.label: r.n for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     picks = None
     for value in (0, 1):
