@@ -16,7 +16,7 @@ SPLIT = "spark.sql.files.maxPartitionBytes"
 
 
 def test_shuffles_follow_the_rows_in_memory(spark):
-    """564 MB of orders, lines and events are 36 million appointments of about 300 bytes."""
+    """564 MB of orders, lines and events are 36 million appointments, of 300 bytes each by estimate."""
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     try:
         spread_shuffles(spark, 564_000_000)
