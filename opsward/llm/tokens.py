@@ -20,8 +20,10 @@ import numpy as np
 
 END_ID = 2
 #: Pieces a worker remembers before it forgets all of them; bounds its memory, not its results.
-MOST_PIECES = 800_000
+MOST_PIECES = 500_000
 LONGEST_PIECE = 64
+#: Marks of pieces met once, by hash: only what comes again is remembered.
+MARKS = 1 << 21
 _END = array("I", [END_ID]).tobytes()
 
 _WORD = re.compile(r"( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:|)*&$#%\-]*)")
@@ -30,6 +32,11 @@ _RARE = re.compile(r"[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200b\u2028\u20
 _ODD = ["  ", " \n", "\n ", "\n\n\n"]
 
 
+def _key(piece: str) -> str:
+    """A piece without its blank; one that has none is led by a line break instead."""
+    return piece[1:] if piece[:1] == " " else "\n" + piece
+
+
 class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -42,19 +49,26 @@ class Encoder:
         letters = [chr(c) for c in range(0x21, 0x100) if _WORD.fullmatch("a" + chr(c)) or _WORD.fullmatch(chr(c))]
         cut = self._tokenizer.pre_tokenizer.pre_tokenize_str
         self._bytes = str.maketrans({c: cut(c)[0][0] for c in letters} | {" ": "".join(x for x, _ in cut(" "))})
-        self._words: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
         self._known: dict[str, bytes] = {}
+        self._tails: dict[str, bytes] = {}
+        self._met = bytearray(MARKS)
+
+    def _remember(self, key: str, ids: bytes) -> None:
+        mark = hash(key) & (MARKS - 1)
+        if self._met[mark]:
+            self._known[key] = ids
+        else:
+            self._met[mark] = 1
 
     def _whole(self, text: str) -> bytes:
         return array("I", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _word(self, word: str) -> bytes:
+    def _spelt(self, letters: str) -> bytes:
         """Ids of letters (with a blank before) or of punctuation: one piece of the library's own cut."""
-        found = self._words.get(word)
-        if found is None:
-            spelt = word.translate(self._bytes)
-            found = self._words[word] = array("I", [t.id for t in self._tokenizer.model.tokenize(spelt)]).tobytes()
-        return found
+        return array("I", [t.id for t in self._tokenizer.model.tokenize(letters.translate(self._bytes))]).tobytes()
 
     def _piece(self, piece: str) -> bytes:
         """piece: what stands between two blanks, led by its blank."""
@@ -63,11 +77,18 @@ class Encoder:
             found = self._whole(piece)
         else:
             blank, word, tail = match.groups()
-            found = self._word(word.lower() if self._folds_case else blank + word)
+            word = word.lower() if self._folds_case else blank + word
+            # The word may be known as a piece of its own.
+            found = self._known.get(word if self._folds_case else _key(word)) or self._spelt(word)
             if tail:
-                found += self._word(tail)
+                after = self._tails.get(tail)
+                if after is None:
+                    after = self._spelt(tail)
+                    if len(tail) <= LONGEST_PIECE:
+                        self._tails[tail] = after
+                found += after
         if len(piece) <= LONGEST_PIECE:
-            self._known[piece[1:] if piece[:1] == " " else "\n" + piece] = found
+            self._remember(_key(piece), found)
         return found
 
     def _is_odd(self, text: str) -> bool:
@@ -77,9 +98,8 @@ class Encoder:
         """The ids of a text, its end id last, as unsigned 32-bit integers."""
         if self._is_odd(text):
             return np.frombuffer(self._whole(text) + _END, "<u4")
-        if len(self._known) > MOST_PIECES:
-            self._known.clear()
-            self._words.clear()
+        if len(self._known) + len(self._tails) > MOST_PIECES:
+            self._forget()
         get, out = self._known.get, []
         for n, line in enumerate(text.split("\n")):
             if n:

@@ -45,6 +45,20 @@ def test_ids_of_line_breaks_and_random_texts_equal_the_library(name):
         assert own.ids(text).tolist() == [*whole.encode(text, add_special_tokens=False).ids, 2], repr(text)
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_a_worker_remembers_only_pieces_that_come_again(name):
+    path = public_tokenizers.path(name)
+    whole, own = Tokenizer.from_file(path), Encoder(path)
+    spelt = [f"{a}{b}{c}{tail}" for a in "bcdfghjklm" for b in ("ana", "eri", "ou", "Ix") for c in "nprstvwxyz" for tail in ("", ".", ",&", "7")]
+    once, often = " ".join(spelt), "Foo bar\nfoo, bar. foo"
+    for text in [once, often, often, often, once]:
+        before = len(own._known)
+        assert own.ids(text).tolist() == [*whole.encode(text, add_special_tokens=False).ids, 2]
+        if text is once and not before:
+            assert len(own._known) < len(spelt) / 10
+    assert len(own._known) >= len(spelt)
+
+
 def fixture(spark):
     rows = [(i * 7 % 5, t, "x", "y") for i, t in enumerate([*ODD, *ODD[:4]])] + [(None, None, None, None), (99, None, None, None)]
     return spark.createDataFrame(rows, "doc_id long, text string, start string, key string").repartition(3)
