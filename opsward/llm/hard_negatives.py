@@ -2,8 +2,8 @@
 
 Rows are cut into blocks by label, then id; a label with many rows fills many blocks. A block keeps its rows' integer
 vectors and, for every dimension, the list of its rows sorted by that component. Every group of anchors meets every
-block, which is a search of stated queries against all rows in blocks of bounded size: blocks and groups go to
-lanes by number, so no label or vector decides how much a task gets.
+block, which is a search of stated queries against all rows in blocks of bounded size: a task reads some stored
+blocks and some stored groups, so no label or vector decides how much it gets, and nothing is copied for all tasks.
 
 In a block each anchor reads the lists of all dimensions in parallel, from the large end where its component is positive,
 from the small end where it is negative, not at all where it is zero. A row met for the first time is
@@ -24,7 +24,6 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,10 +31,12 @@ from .common import store
 
 BLOCK_ROWS = 8192
 GROUP_ANCHORS = 512
-#: Lanes that blocks are dealt to; every group of anchors is copied to each lane.
-LANES = 2000
+#: Most lanes of blocks and of groups: a task for every two of them, and it holds the groups of its lane.
+BLOCK_LANES = 1000
+GROUP_LANES = 20
 FIRST_DEPTH = 32
-ARROW_BYTES = "33554432"
+#: What a worker gets at once: about one pair of a block and a group.
+ARROW_BYTES = "4194304"
 _LONG = np.iinfo(np.int64)
 
 
@@ -66,11 +67,11 @@ def _matrix(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def _pack(batches: Iterable[pa.RecordBatch], rows_each: int, pack_rows) -> Iterator[pa.RecordBatch]:
-    """One row for about as many rows as asked for (fewer than twice), numbered by partition."""
-    held, n, lane = [], 0, TaskContext.get().partitionId()
+    """One row for about as many rows as asked for (fewer than twice)."""
+    held, n = [], 0
 
     def packed(table: pa.Table) -> pa.RecordBatch:
-        fields = {"lane": lane, "low": table["label"][0].as_py(), "high": table["label"][-1].as_py(), "n": len(table)} | pack_rows(table)
+        fields = {"low": table["label"][0].as_py(), "high": table["label"][-1].as_py(), "n": len(table)} | pack_rows(table)
         return pa.RecordBatch.from_pylist([fields])
 
     for batch in batches:
@@ -104,12 +105,12 @@ def _group_fields(table: pa.Table) -> dict:
     return fields
 
 
-_PACKED = "lane long, low long, high long, n long, ids binary, labels binary, dims long, vectors binary"
+_PACKED = "low long, high long, n long, ids binary, labels binary, dims long, vectors binary"
 _WANTED = ", wanted binary, n_wanted binary, wanted_scores binary, n_wanted_scores binary"
 
 
-def pack(rows: DataFrame, n_rows: int, rows_each: int, kind: str) -> tuple[DataFrame, int]:
-    """The rows in stored packs ordered by label, then id, and the number of partitions they came from."""
+def pack(rows: DataFrame, n_rows: int, rows_each: int, kind: str) -> DataFrame:
+    """The rows in stored packs ordered by label, then id."""
     parts = max(1, -(-n_rows // rows_each))
     make = _block_fields if kind == "blocks" else _group_fields
     schema = _PACKED + (", lists binary" if kind == "blocks" else _WANTED if "wanted" in rows.columns else "")
@@ -120,7 +121,7 @@ def pack(rows: DataFrame, n_rows: int, rows_each: int, kind: str) -> tuple[DataF
             yield batch.select(names)
 
     spread = rows.repartitionByRange(parts, "label", "id").sortWithinPartitions("label", "id")
-    return store(spread.mapInArrow(run, schema), kind), parts
+    return store(spread.mapInArrow(run, schema), kind)
 
 
 class Block:
@@ -215,16 +216,17 @@ def _search_pairs(batches: Iterable[pa.RecordBatch], low: int, high: int, k: int
                 yield pa.RecordBatch.from_pydict({c: pa.array(v, pa.int64()) for c, v in out.items()})
 
 
-def meet(blocks: DataFrame, lanes: int, groups: DataFrame, same_label: bool, low: int, high: int, k: int) -> DataFrame:
-    """The best k rows of each window in each block."""
+def meet(blocks: DataFrame, groups: DataFrame, same_label: bool, low: int, high: int, k: int) -> DataFrame:
+    """The best k rows of each window in each block.
+
+    Both sides are read from storage by every task that needs them: packed rows are small in files and large in memory, so
+    a join that Spark plans by their size in files would send them all through the driver.
+    """
     found = ["anchor_id", *([] if same_label else ["positive_id", "positive_score"]), "id", "score"]
-    dealt = groups.select(
-        F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("g_lane"), *[F.col(c).alias(f"g_{c}") for c in groups.columns if c != "lane"]
-    )
-    blocks = blocks.withColumn("lane", F.col("lane") % lanes)
+    dealt = groups.select(*[F.col(c).alias(f"g_{c}") for c in groups.columns]).coalesce(GROUP_LANES).hint("shuffle_replicate_nl")
     overlap = (F.col("low") <= F.col("g_high")) & (F.col("g_low") <= F.col("high"))
     alike = (F.col("low") == F.col("high")) & (F.col("g_low") == F.col("g_high")) & (F.col("low") == F.col("g_low"))
-    pairs = blocks.join(dealt, (F.col("lane") == F.col("g_lane")) & (overlap if same_label else ~alike))
+    pairs = blocks.coalesce(BLOCK_LANES).join(dealt, overlap if same_label else ~alike)
     return pairs.mapInArrow(lambda batches: _search_pairs(batches, low, high, k, found), ", ".join(f"{c} long" for c in found))
 
 
@@ -245,18 +247,17 @@ def hard_negatives(
     spark = embeddings.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     rows = store(integer_rows(embeddings, id_col, vector, F.col("label") if label is None else label, scale), "vectors")
-    blocks, parts = pack(rows, rows.count(), BLOCK_ROWS, "blocks")
-    lanes = min(parts, LANES)
+    blocks = pack(rows, rows.count(), BLOCK_ROWS, "blocks")
     asking = rows.where(anchors)
     n_asking = asking.count()
-    groups, _ = pack(asking, n_asking, GROUP_ANCHORS, "groups")
-    positives = first(meet(blocks, lanes, groups, True, low, high, n_positives), ["anchor_id"], n_positives)
+    groups = pack(asking, n_asking, GROUP_ANCHORS, "groups")
+    positives = first(meet(blocks, groups, True, low, high, n_positives), ["anchor_id"], n_positives)
     wanted = positives.groupBy("anchor_id").agg(F.sort_array(F.collect_list(F.struct("rank", "id", "score"))).alias("found"))
-    opened = asking.join(wanted, asking["id"] == wanted["anchor_id"]).select(
+    opened = asking.join(wanted.hint("merge"), asking["id"] == wanted["anchor_id"]).select(
         "id", "label", "vector", F.col("found.id").alias("wanted"), F.col("found.score").alias("wanted_scores")
     )
-    windows, _ = pack(store(opened, "windows"), n_asking, GROUP_ANCHORS, "groups")
-    negatives = first(meet(blocks, lanes, windows, False, low, high, n_negatives), ["anchor_id", "positive_id"], n_negatives)
+    windows = pack(store(opened, "windows"), n_asking, GROUP_ANCHORS, "groups")
+    negatives = first(meet(blocks, windows, False, low, high, n_negatives), ["anchor_id", "positive_id"], n_negatives)
     return negatives.select(
         "anchor_id", "positive_id", F.col("rank").cast("int"), F.col("id").alias("negative_id"), "positive_score", F.col("score").alias("negative_score")
     )

@@ -41,6 +41,43 @@ def test_equals_brute_force(spark, monkeypatch, block_rows, anchors_each):
     assert hard_negatives.hard_negatives(df.limit(0), F.col("id") % 5 == 0).count() == 0
 
 
+def test_no_pack_goes_through_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(hard_negatives, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(hard_negatives, "GROUP_ANCHORS", 3)
+    rows = [(i, [float(i % 7), 1.0, float(i % 3)], i % 4) for i in range(120)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    plans, store = [], hard_negatives.store
+
+    def ran(part):
+        return part._jdf.queryExecution().executedPlan().toString()
+
+    def stored(part, name):
+        out = store(part, name)
+        part.collect()
+        plans.append(ran(part))
+        return out
+
+    monkeypatch.setattr(hard_negatives, "store", stored)
+    found = hard_negatives.hard_negatives(df, F.col("id") % 5 == 0)
+    got = found.collect()
+    plans.append(ran(found))
+    assert not [p for p in plans if "Broadcast" in p or "Generate" in p]
+    assert sum("CartesianProduct" in p for p in plans) == 2
+    assert sorted(map(tuple, got)) == brute_force([(i, label, [math.floor(256 * x) for x in v]) for i, v, label in rows])
+
+
+@pytest.mark.parametrize("block_lanes, group_lanes", [(1000, 20), (2, 3), (1, 1)])
+def test_lanes_do_not_change_the_result(spark, monkeypatch, block_lanes, group_lanes):
+    monkeypatch.setattr(hard_negatives, "BLOCK_ROWS", 5)
+    monkeypatch.setattr(hard_negatives, "GROUP_ANCHORS", 2)
+    monkeypatch.setattr(hard_negatives, "BLOCK_LANES", block_lanes)
+    monkeypatch.setattr(hard_negatives, "GROUP_LANES", group_lanes)
+    rows = [(i, [float(i % 11), 1.0, float(i % 5)], i % 3) for i in range(90)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = hard_negatives.hard_negatives(df, F.col("id") % 5 == 0).collect()
+    assert sorted(map(tuple, got)) == brute_force([(i, label, [math.floor(256 * x) for x in v]) for i, v, label in rows])
+
+
 def block(vectors, ids=None):
     vectors = np.array(vectors, np.int64)
     ids = np.arange(len(vectors)) if ids is None else np.array(ids)
